@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 DOORS = 36
 VIEW_GROUPS = 4
+ORDER_PEOPLE = 50
 
 
 def badges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,12 +53,28 @@ def grouped_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as badge-like rows over many months."""
+    """Orders as badge rows of many months, one person per customer."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.select(
         F.concat(F.lit("USER "), "o_custkey").alias("eid"),
         F.to_date(F.trunc("o_orderdate", "MM")).alias("month"),
         F.col("o_orderkey").alias("index_value"),
-        F.col("o_orderpriority").alias("Facility"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("localtimestamp"),
+    )
+
+
+def order_swipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as grouped badges of many months, with a few busy people per month."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    order, user = F.col("o_orderkey"), F.col("o_custkey") % ORDER_PEOPLE
+    second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), order * 7919 % 86_400)
+    site = F.when(order % 5 == 0, order % 12).otherwise(user % 12)
+    return orders.select(
+        F.concat(F.lit("USER "), user).alias("eid"),
+        (F.col("o_orderdate").cast("timestamp_ntz") + second).alias("localtimestamp"),
+        F.when(order % 2 == 0, F.lit("In")).otherwise(F.lit(" OUT ")).alias("direction"),
+        F.col("o_orderpriority").alias("messagetype"),
+        F.to_date(F.trunc("o_orderdate", "MM")).alias("month"),
+        order.alias("index_value"),
+        (user % VIEW_GROUPS + 1).alias("Group"),
+        F.concat(F.lit("Site "), F.lpad(site.cast("string"), 2, "0"), F.lit(" Floor")).alias("door"),
     )
