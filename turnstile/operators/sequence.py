@@ -49,7 +49,7 @@ def mark_oversized(badges: DataFrame, capacity: int) -> DataFrame:
     also hold over 1/MAX_SPLIT_KEYS of all rows, which bounds the broadcast list.
     """
     counts = badges.groupBy(*PERSON).agg(F.count("*").alias("swipes"))
-    total = badges.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("swipes")).scalar()
     busy = counts.where(
         (F.col("swipes") > capacity) & (F.col("swipes") * MAX_SPLIT_KEYS > total)
     ).select(*PERSON, F.lit(True).alias("busy"))
