@@ -29,7 +29,7 @@ def processing_months(
     if date_list.strip():
         one = badges.sparkSession.range(1)
         items = F.filter(text.split_list(F.lit(date_list)), lambda item: item != "")
-        return one.select(F.explode(items).cast("date").alias("date"))
+        return one.select(F.explode(items).alias("date")).select(F.col("date").cast("date"))
     if today is None:
         today = F.current_date()
     elif isinstance(today, dt.date):

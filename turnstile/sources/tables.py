@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,18 @@ def balanced(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", partition)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwrite only the partitions that are written; `insertInto` takes this from the session."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replace_months(df: DataFrame, table: str, months: Iterable[dt.date], column: str = "Month"):
     """Replace the listed months of a month-partitioned table; running it twice changes nothing."""
     spark = df.sparkSession
@@ -59,9 +72,8 @@ def replace_months(df: DataFrame, table: str, months: Iterable[dt.date], column:
         return
     drop_months(spark, table, months, column)
     ordered = df.select(*spark.table(table).columns)
-    balanced(ordered, column).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        table, overwrite=True
-    )
+    with _dynamic_overwrite(spark):
+        balanced(ordered, column).write.insertInto(table, overwrite=True)
 
 
 def drop_months(
