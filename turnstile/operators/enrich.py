@@ -18,16 +18,16 @@ def enrich_badges(
 
     Ids with over 1/MAX_SPLIT_KEYS of all swipes get their group by a broadcast of
     just those ids. Their rows, and rows without an id, then carry a salt that
-    matches nothing, which spreads them over the shuffle join of the rest.
-    The door mapping is joined without a hint: Spark broadcasts it if its size
-    allows.
+    matches nothing, which spreads them over the shuffle join of the rest. (Copies
+    of one row share a salt; being on the outer side, adaptive execution can split
+    such a partition.) The door mapping is joined without a hint: Spark broadcasts
+    it if its size allows.
     """
     total = groups.agg(F.sum("count")).scalar()
     wanted = groups.select("eid", "month", "Group", (F.col("count") > capacity).alias("oversized"))
-    busy = groups.where(F.col("count") * MAX_SPLIT_KEYS > total).where(
-        F.col("count") > capacity
-    )
-    busy = busy.select("eid", "month", F.col("Group").alias("busy_group"))
+    busy = groups.where(
+        (F.col("count") > capacity) & (F.col("count") * MAX_SPLIT_KEYS > total)
+    ).select("eid", "month", F.col("Group").alias("busy_group"))
     spread = F.pmod(F.xxhash64("localtimestamp", "index_value", "rank"), F.lit(_SALTS - 1)) + 1
     placed = badges.join(F.broadcast(busy), ["eid", "month"], "left").withColumn(
         "salt",
@@ -53,10 +53,10 @@ def month_range(df: DataFrame, month, column: str, first: int, last: int) -> Dat
 
 
 def in_batch(df: DataFrame, ranges: DataFrame, column: str, batch: int) -> DataFrame:
-    """Rows of one batch in every month; `ranges` has one row per month and batch."""
+    """Rows of one batch in every month; one row per month is broadcast."""
     wanted = ranges.where(F.col("batch") == batch).select("month", "first", "last")
     return (
-        df.join(wanted, "month")
+        df.join(F.broadcast(wanted), "month")
         .where(F.col(column).between(F.col("first"), F.col("last")))
         .drop("first", "last")
     )

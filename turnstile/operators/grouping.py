@@ -12,6 +12,8 @@ from turnstile.session import ensure_checkpoint_dir
 GROUP_CAPACITY = 250_000
 BATCHES = 5
 
+_CHUNK = 10_000
+
 
 def eid_month_counts(badges: DataFrame) -> DataFrame:
     return badges.groupBy("eid", "month").agg(F.count("*").alias("count"))
@@ -134,6 +136,15 @@ def batch_ranges(bounds: DataFrame) -> DataFrame:
 
 
 def batch_members(ranges: DataFrame) -> DataFrame:
-    """Every number of every batch."""
-    filled = ranges.where(F.col("first") <= F.col("last"))
-    return filled.select("month", "batch", F.explode(F.sequence("first", "last")).alias("number"))
+    """Every number of every batch, unfolded in chunks that are spread over the cluster."""
+    chunks = ranges.where(F.col("first") <= F.col("last")).select(
+        "month",
+        "batch",
+        "last",
+        F.explode(F.sequence("first", "last", F.lit(_CHUNK))).alias("start"),
+    )
+    width = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    end = F.least(F.col("start") + _CHUNK - 1, F.col("last"))
+    return chunks.repartition(width, "month", "start").select(
+        "month", "batch", F.explode(F.sequence("start", end)).alias("number")
+    )

@@ -13,18 +13,19 @@ def normalise_rows(badges: DataFrame) -> DataFrame:
 
     Exact copies stay; `clean_sequence` folds them together with other
     simultaneous swipes, so the monthly jobs need no separate distinct shuffle.
+    Empty rows need no rule of their own here: they have no group.
     """
     return _normalise_text(_parse(badges))
 
 
 def normalise_badges(badges: DataFrame) -> DataFrame:
     """Like `normalise_rows`, with exact copies of raw rows removed first."""
-    return _normalise_text(_parse(badges).dropDuplicates())
+    return _normalise_text(_parse(badges.na.drop(how="all")).dropDuplicates())
 
 
 def _parse(badges: DataFrame) -> DataFrame:
     stamp = clock.parse(F.col("localtimestamp"), badges.schema["localtimestamp"].dataType)
-    return badges.na.drop(how="all").withColumn("localtimestamp", stamp)
+    return badges.withColumn("localtimestamp", stamp)
 
 
 def _normalise_text(parsed: DataFrame) -> DataFrame:

@@ -70,7 +70,8 @@ def group_badges(
     groups = grouping.balanced_groups(grouping.eid_month_counts(listed), capacity)
     io.overwrite(groups, names.eid_groups, "month")
     grouped = enrich.enrich_badges(listed, spark.table(names.eid_groups), doors, capacity)
-    io.overwrite(grouped, names.grouped_badges, "month")
+    # Oversized people get their own folders, which the pass over them alone reads.
+    io.overwrite(grouped, names.grouped_badges, "month", "oversized")
 
 
 def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables()) -> None:

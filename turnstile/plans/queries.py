@@ -73,11 +73,14 @@ def _listed(spark: SparkSession, sf: str) -> DataFrame:
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     raw = view.badges(spark, sf).drop("view_group")
     groups = grouping.balanced_groups(grouping.eid_month_counts(raw), EVENT_CAPACITY)
-    return enrich.enrich_badges(raw, groups, view.doors(spark), EVENT_CAPACITY)
+    # Used several times; the monthly job writes it as a table.
+    return enrich.enrich_badges(raw, groups.checkpoint(), view.doors(spark), EVENT_CAPACITY)
 
 
 def _enriched_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return sequence.clean_sequence(normalise.normalise_rows(_enriched(spark, sf)))
+    # Read by the pass over everyone and by the pass over oversized people; also a table in the job.
+    badges = _enriched(spark, sf).checkpoint()
+    return sequence.clean_sequence(normalise.normalise_rows(badges))
 
 
 # --- queries -----------------------------------------------------------------
@@ -89,7 +92,10 @@ def badge_rows(spark, sf):
 
 def month_range_scan(spark, sf):
     rows = view.grouped_badges(spark, sf)
-    return enrich.month_range(rows, MONTH, "Group", 2, 3).orderBy("Group")
+    # Further sort columns let the range partitioning cut a large group.
+    return enrich.month_range(rows, MONTH, "Group", 2, 3).orderBy(
+        "Group", "index_value", "localtimestamp"
+    )
 
 
 def month_max_index(spark, sf):

@@ -27,12 +27,11 @@ def has_month(df: DataFrame, month: dt.date) -> bool:
     return not df.where(F.col("month") == F.lit(month)).isEmpty()
 
 
-def overwrite(df: DataFrame, table: str, partition: str | None = None) -> None:
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition:
-        writer = balanced(df, partition).write.mode("overwrite").format("parquet")
-        writer = writer.partitionBy(partition)
-    writer.saveAsTable(table)
+def overwrite(df: DataFrame, table: str, *partitions: str, compact: bool = False) -> None:
+    """Write a table anew; `compact` evens out files at the price of a shuffle."""
+    if compact:
+        df = balanced(df, *partitions)
+    df.write.mode("overwrite").format("parquet").partitionBy(*partitions).saveAsTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -47,9 +46,9 @@ def append_query(spark: SparkSession, sql: str, table: str) -> None:
     append(spark.sql(sql), table)
 
 
-def balanced(df: DataFrame, partition: str) -> DataFrame:
+def balanced(df: DataFrame, *partitions: str) -> DataFrame:
     """Even files per partition value; adaptive execution splits the large ones."""
-    return df.hint("rebalance", partition)
+    return df.hint("rebalance", *partitions)
 
 
 @contextmanager
@@ -68,7 +67,7 @@ def replace_months(df: DataFrame, table: str, months: Iterable[dt.date], column:
     """Replace the listed months of a month-partitioned table; running it twice changes nothing."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        overwrite(df, table, column)
+        overwrite(df, table, column, compact=True)
         return
     drop_months(spark, table, months, column)
     ordered = df.select(*spark.table(table).columns)
