@@ -31,6 +31,11 @@ def parse(c: Column, data_type: T.DataType) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def floor_second(ts: Column) -> Column:
+    fraction = F.extract(F.lit("SECOND"), ts) % 1
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
+
+
 def floor_minute(ts: Column) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.extract(F.lit("SECOND"), ts))
 
@@ -75,6 +80,11 @@ def hour_bins(first: Column, last: Column) -> Column:
     return F.sequence(first, last, F.make_dt_interval(F.lit(0), F.lit(1)))
 
 
+def time_text(ts: Column) -> Column:
+    """``HH:mm:ss``, cut from the text form because `date_format` would go through the zone."""
+    return F.substring(ts.cast("string"), 12, 8)
+
+
 def time_group(ts: Column) -> Column:
     return F.when(F.hour(ts).between(*DAY_BAND), DAY_LABEL).otherwise(NIGHT_LABEL)
 

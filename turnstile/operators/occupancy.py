@@ -77,7 +77,7 @@ def hourly_occupancy(person_hours: DataFrame) -> DataFrame:
         .select(
             "Facility",
             F.to_date("bin").alias("Date"),
-            F.date_format("bin", "HH:mm:ss").alias("Bin_time"),
+            clock.time_text(F.col("bin")).alias("Bin_time"),
             "Group",
             "eid",
             clock.time_group(F.col("bin")).alias("Time_group"),

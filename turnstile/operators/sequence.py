@@ -66,8 +66,8 @@ def fold_simultaneous(badges: DataFrame) -> DataFrame:
     Swipes of one direction at one time are neighbours, so run removal would keep
     the first `in` and the last `out` of them anyway.
     """
-    if "oversized" not in badges.columns:
-        badges = badges.withColumn("oversized", F.lit(False))
+    flag = F.col("oversized") if "oversized" in badges.columns else F.lit(False)
+    badges = badges.withColumn("oversized", F.coalesce(flag, F.lit(False)))
     return (
         badges.where(F.col("direction").isin(*DIRECTIONS))
         .groupBy(*_ROW[:-1])

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnstile.functions import clock
+
 DOORS = 36
 VIEW_GROUPS = 4
 ORDER_PEOPLE = 50
@@ -21,7 +23,7 @@ def badges(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = F.when(event % 5 == 0, event % 12).otherwise(user % 12)
     return events.withColumn("copy", F.explode(copies)).select(
         F.when(event % 97 != 0, F.concat(F.lit("USER "), user)).alias("eid"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("localtimestamp"),
+        clock.floor_second(F.col("ts")).alias("localtimestamp"),
         F.when(event % 101 == 0, F.lit(None))
         .when(event % 2 == 0, F.lit("In"))
         .otherwise(F.lit(" OUT "))
