@@ -25,6 +25,8 @@ def local_session(cores: int = 8, **settings: str) -> SparkSession:
         "spark.sql.shuffle.partitions": str(cores),
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        # Short queries in one session: keep their compiled code.
+        "spark.sql.codegen.cache.maxEntries": "10000",
     }
     for key, value in {**SETTINGS, **defaults, **settings}.items():
         builder = builder.config(key, value)
