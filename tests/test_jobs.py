@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from turnstile.operators import normalise, rollup, sequence, stays
 from turnstile.plans import jobs
+from turnstile.plans import queries as Q
 from turnstile.plans.queries import QUERIES
 from turnstile.sources import badge_view, tables
 
@@ -40,6 +42,29 @@ def test_run_twice(spark, names):
     assert not any(spark.catalog.tableExists(t) for t in names.working())
 
 
+def test_two_months_and_one_again(spark, names):
+    swipes = badge_view.order_swipes(spark, SF)
+    site = F.substring("door", 6, 2).cast("bigint")
+    raw = swipes.withColumn("rank", site).drop("door", "Group")
+    doors = swipes.select(site.alias("rank"), F.col("door").alias("Door")).distinct()
+    months = [dt.date(2001, 6, 1), dt.date(2001, 7, 1)]
+    jobs.run(raw, doors, "2001-06-01,2001-07-01", "Monthly", capacity=20, names=names)
+    assert tables.table_months(spark, names.peak_util) == months
+    before = spark.table(names.peak_util_summary).collect()
+    done = jobs.run(raw, doors, "", "Weekly", dt.date(2001, 7, 20), capacity=20, names=names)
+    assert done == months[1:]
+    assert sorted(spark.table(names.peak_util_summary).collect(), key=str) == sorted(before, key=str)
+    # Groups differ between months but not the totals: one group gives the same hours.
+    kept = raw.where(F.col("month").isin(months)).withColumn("Group", F.lit(1).cast("bigint"))
+    hours = Q._hourly(
+        stays.day_spans(
+            sequence.clean_sequence(normalise.normalise_rows(kept.join(doors.withColumnRenamed("Door", "door"), "rank")))
+        )
+    )
+    listed = spark.createDataFrame([(m,) for m in months], "date date")
+    assert same(rollup.peak_rollup(hours, listed), spark.table(names.peak_util_summary))
+
+
 def test_old_months_expire(spark, names):
     old = [dt.date(2022, 12, 1), dt.date(2023, 1, 1), MONTH]
     df = spark.createDataFrame([(1, m) for m in old], "v int, Month date")

@@ -31,19 +31,20 @@ def parse(c: Column, data_type: T.DataType) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def _midnight(ts: Column) -> Column:
+    return ts.cast("date").cast("timestamp_ntz")
+
+
 def floor_second(ts: Column) -> Column:
-    fraction = F.extract(F.lit("SECOND"), ts) % 1
-    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
+    return _midnight(ts) + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.second(ts))
 
 
 def floor_minute(ts: Column) -> Column:
-    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.extract(F.lit("SECOND"), ts))
+    return _midnight(ts) + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts))
 
 
 def floor_hour(ts: Column) -> Column:
-    return ts - F.make_dt_interval(
-        F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts)
-    )
+    return _midnight(ts) + F.make_dt_interval(F.lit(0), F.hour(ts))
 
 
 def nearest_hour(ts: Column) -> Column:
@@ -72,7 +73,7 @@ def stay_minutes(start: Column, end: Column) -> Column:
 
 def at_minute(ts: Column, minute_of_day: int) -> Column:
     """The given minute on the day of ts."""
-    return ts.cast("date").cast("timestamp_ntz") + minutes(minute_of_day)
+    return _midnight(ts) + minutes(minute_of_day)
 
 
 def hour_bins(first: Column, last: Column) -> Column:

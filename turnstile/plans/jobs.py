@@ -96,7 +96,8 @@ def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables())
     }
     for table, detail in details.items():
         expire_months(spark, table, dates, frequency)
-        io.replace_months(detail, table, dates)
+        # Rows per person are many and leave an exchange in good sizes; the others are few.
+        io.replace_months(detail, table, dates, compact=table != names.eid_daily)
 
 
 def build_summaries(spark: SparkSession, frequency: str, names: Tables = Tables()) -> None:

@@ -63,16 +63,24 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def replace_months(df: DataFrame, table: str, months: Iterable[dt.date], column: str = "Month"):
+def replace_months(
+    df: DataFrame,
+    table: str,
+    months: Iterable[dt.date],
+    column: str = "Month",
+    compact: bool = True,
+) -> None:
     """Replace the listed months of a month-partitioned table; running it twice changes nothing."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        overwrite(df, table, column, compact=True)
+        overwrite(df, table, column, compact=compact)
         return
     drop_months(spark, table, months, column)
     ordered = df.select(*spark.table(table).columns)
+    if compact:
+        ordered = balanced(ordered, column)
     with _dynamic_overwrite(spark):
-        balanced(ordered, column).write.insertInto(table, overwrite=True)
+        ordered.write.insertInto(table, overwrite=True)
 
 
 def drop_months(
