@@ -320,6 +320,25 @@ def oracle_sql() -> dict[str, str]:
             'SELECT month, "Group", eid, ts AS "localtimestamp", direction, index_value, "Facility", "DateOnly" '
             "FROM normal"
         ),
+        "door_names": _view("SELECT * FROM grouped"),
+        "text_functions": _view(
+            "SELECT index_value, lower(replace(eid, ' ', '')) AS eid, "
+            "lower(replace(direction, ' ', '')) AS direction, "
+            "upper(replace(door, ' ', '')[1:11]) AS \"Facility\" FROM grouped"
+        ),
+        "clock_functions": _orders(
+            "SELECT index_value, date_trunc('minute', t) AS minute, date_trunc('hour', t) AS hour, "
+            "date_trunc('hour', t) + CASE WHEN minute(t) < 30 THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END "
+            "AS nearest_hour, "
+            "CASE WHEN hour(t) + minute(t) = 0 THEN t + INTERVAL 1 MINUTE ELSE t END AS moved_in, "
+            "CASE WHEN hour(t) + minute(t) = 0 THEN t - INTERVAL 1 MINUTE ELSE t END AS moved_out, "
+            "date_trunc('day', t) + INTERVAL 1439 MINUTE AS day_end, "
+            "abs(datediff('second', date_trunc('day', t) + INTERVAL 1 MINUTE, t)) // 60 AS minutes, "
+            "strftime(t, '%H:%M:%S') AS time, "
+            "CASE WHEN hour(t) >= 8 AND hour(t) <= 19 THEN '8AM-7PM' ELSE '8PM-7AM' END AS time_group, "
+            "CAST(date_trunc('month', t) AS DATE) AS month "
+            'FROM (SELECT index_value, "localtimestamp" AS t FROM grouped)'
+        ),
         "keep_unique": _view(
             'SELECT month, "Group", "Facility", eid, direction, "DateOnly", index_value FROM normal '
             'QUALIFY count(*) OVER (PARTITION BY month, "Group", "Facility", eid, direction, "DateOnly") = 1'
@@ -331,6 +350,9 @@ def oracle_sql() -> dict[str, str]:
         "dedup_runs": _view(f"SELECT {_SWIPE} FROM in_pass"),
         "first_last_tags": _view(f'SELECT {_SWIPE}, "First_Tag", "Last_Tag" FROM cleaned'),
         "orphans": _view(f"SELECT {_SWIPE} FROM lone"),
+        "orphan_split": _view(
+            "SELECT CASE WHEN orphan THEN 'orphan' ELSE 'rest' END AS side, count(*) AS n FROM marked GROUP BY 1"
+        ),
         "impute_facility": _view(
             f'SELECT {_SWIPE}, original AS "Original Facility", anomalous AS "Tag_Anomalous" FROM imputed'
         ),
@@ -369,6 +391,7 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT * FROM hourly WHERE NOT ("Month" IN (SELECT date FROM listed) OR {_OLD.format(n=13)})'
         ),
         "retain_monthly": _orders(f"SELECT * FROM hourly WHERE NOT ({_OLD.format(n=12)})"),
+        "weekly_refresh": _orders(f"SELECT * FROM hourly WHERE NOT ({_OLD.format(n=13)})"),
         "processing_months_weekly": _orders(
             "SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS date FROM (SELECT unnest([max(month) + 3, "
             "max(month) - 7]) AS d FROM order_badges)"

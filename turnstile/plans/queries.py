@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnstile.functions import clock, text
 from turnstile.operators import (
     dedup,
     enrich,
@@ -20,6 +21,7 @@ from turnstile.operators import (
     sequence,
     stays,
 )
+from turnstile.session import ensure_checkpoint_dir
 from turnstile.sources import badge_view as view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +143,37 @@ def normalise_badges(spark, sf):
     return normalise.normalise_badges(view.grouped_badges(spark, sf))
 
 
+def door_names(spark, sf):
+    return view.grouped_badges(spark, sf)
+
+
+def text_functions(spark, sf):
+    rows = view.grouped_badges(spark, sf)
+    return rows.select(
+        "index_value",
+        text.person_id(F.col("eid")).alias("eid"),
+        text.direction(F.col("direction")).alias("direction"),
+        text.facility(F.col("door")).alias("Facility"),
+    )
+
+
+def clock_functions(spark, sf):
+    ts = F.col("localtimestamp")
+    return view.order_swipes(spark, sf).select(
+        "index_value",
+        clock.floor_minute(ts).alias("minute"),
+        clock.floor_hour(ts).alias("hour"),
+        clock.nearest_hour(ts).alias("nearest_hour"),
+        clock.off_midnight(ts, F.lit("in")).alias("moved_in"),
+        clock.off_midnight(ts, F.lit("out")).alias("moved_out"),
+        clock.at_minute(ts, clock.DAY_END).alias("day_end"),
+        clock.stay_minutes(clock.at_minute(ts, clock.DAY_START), ts).alias("minutes"),
+        clock.time_text(ts).alias("time"),
+        clock.time_group(ts).alias("time_group"),
+        clock.month_start(ts).alias("month"),
+    )
+
+
 def keep_unique(spark, sf):
     rows = normalise_badges(spark, sf).select(
         "month", "Group", "Facility", "eid", "direction", "DateOnly", "index_value"
@@ -169,6 +202,12 @@ def orphans(spark, sf):
     return stays.orphans(_cleaned(spark, sf))
 
 
+def orphan_split(spark, sf):
+    """Sizes of the two sides of the orphan condition."""
+    side = F.when(stays.is_orphan(), "orphan").otherwise("rest")
+    return _cleaned(spark, sf).groupBy(side.alias("side")).agg(F.count("*").alias("n"))
+
+
 def impute_facility(spark, sf):
     return stays.impute_facility(_cleaned(spark, sf))
 
@@ -250,6 +289,14 @@ def retain_monthly(spark, sf):
     return months.retain(_order_hourly(spark, sf), _listed(spark, sf), "Monthly")
 
 
+def weekly_refresh(spark, sf):
+    """An hourly table after a weekly run: what is kept, plus the listed months anew."""
+    ensure_checkpoint_dir(spark)
+    hourly, listed = _order_hourly(spark, sf).checkpoint(), _listed(spark, sf)
+    kept = months.retain(hourly, listed, "Weekly")
+    return kept.unionByName(months.in_months(hourly, listed))
+
+
 def processing_months_weekly(spark, sf):
     rows = view.order_badges(spark, sf)
     day_four = F.date_add(rows.agg(F.max("month")).scalar(), 3)
@@ -299,11 +346,15 @@ QUERIES: dict[str, Query] = {
         balanced_groups_small,
         enrich_badges,
         normalise_badges,
+        door_names,
+        text_functions,
+        clock_functions,
         keep_unique,
         keep_first,
         dedup_runs,
         first_last_tags,
         orphans,
+        orphan_split,
         impute_facility,
         pair_stays,
         number_pairs,
@@ -324,6 +375,7 @@ QUERIES: dict[str, Query] = {
         in_months,
         retain_weekly,
         retain_monthly,
+        weekly_refresh,
         processing_months_weekly,
         processing_months_empty,
         processing_months_monthly,
