@@ -57,7 +57,17 @@ def test_batch_bounds(spark, n, bounds):
 BADGES = "eid string, localtimestamp timestamp_ntz, messagetype string, rank bigint, month date, index_value bigint"
 
 
-def test_enrich(spark):
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    """With and without broadcast of the door mapping."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield
+    spark.conf.set(key, before)
+
+
+def test_enrich(spark, broadcast_limit):
     ts = dt.datetime(2024, 1, 2)
     rows = [("a", ts, "x", 1, M1, i) for i in range(30)]
     rows += [("b", ts, "x", 9, M1, 1), (None, ts, "x", 1, M1, 2), ("a", ts, "x", 1, M2, 3)]
