@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on; everything else is left to the cluster.
@@ -36,9 +34,11 @@ def local_session(cores: int = 8, **settings: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only where none is named."""
+    """Use the shared folder that the session names; without one, a folder in the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="turnstile-checkpoint-"))
+    # Every machine of a cluster reaches the warehouse; a temporary folder only its own machine.
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    context.setCheckpointDir(configured or f"{warehouse}/_checkpoints")
