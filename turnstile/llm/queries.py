@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import simhash
+from turnstile.llm import simhash, substring
 from turnstile.llm.common import read
 
 
@@ -12,5 +12,9 @@ def op9_simhash_dedup(spark, sf):
     return simhash.simhash_groups(read(spark, sf, "documents"), shingle=3, max_bits=2)
 
 
-QUERIES = {q.__name__: q for q in (op9_simhash_dedup,)}
+def op8_substring_dedup(spark, sf):
+    return substring.remove_repeated(read(spark, sf, "documents"), window=13).drop("kept")
+
+
+QUERIES = {q.__name__: q for q in (op8_substring_dedup, op9_simhash_dedup)}
 ORACLE_SQL: dict[str, str] = {}
