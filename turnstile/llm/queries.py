@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import simhash, substring
+from turnstile.llm import pu_quality, quality_rules, simhash, substring
 from turnstile.llm.common import read
 
 
@@ -12,9 +12,19 @@ def op9_simhash_dedup(spark, sf):
     return simhash.simhash_groups(read(spark, sf, "documents"), shingle=3, max_bits=2)
 
 
+def op4_pu_quality(spark, sf):
+    docs, labels = (read(spark, sf, t) for t in ("documents", "labels"))
+    return pu_quality.score_quality(docs, labels, threshold=0.3)
+
+
 def op8_substring_dedup(spark, sf):
     return substring.remove_repeated(read(spark, sf, "documents"), window=13).drop("kept")
 
 
-QUERIES = {q.__name__: q for q in (op8_substring_dedup, op9_simhash_dedup)}
+def op10_quality_rules(spark, sf):
+    docs, labels = (read(spark, sf, t) for t in ("documents", "labels"))
+    return quality_rules.apply_rules(docs, labels)
+
+
+QUERIES = {q.__name__: q for q in (op4_pu_quality, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
