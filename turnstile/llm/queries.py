@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from turnstile.llm import pu_quality, quality_rules, simhash, substring
+from turnstile.llm import pu_quality, quality_rules, simhash, substring, url_rules
 from turnstile.llm.common import read
 
 
@@ -17,6 +15,39 @@ def op4_pu_quality(spark, sf):
     return pu_quality.score_quality(docs, labels, threshold=0.3)
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op6_url_rules(spark, sf):
+    return url_rules.judge_urls(read(spark, sf, "pages"), url_rules.rules_table(spark, URL_RULES))
+
+
+OP6_SQL = """
+WITH rules(host, path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+), fits AS (
+  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS place
+  FROM parts p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
+"""
+
+
 def op8_substring_dedup(spark, sf):
     return substring.remove_repeated(read(spark, sf, "documents"), window=13).drop("kept")
 
@@ -26,5 +57,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op4_pu_quality, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (op4_pu_quality, op6_url_rules, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL}
