@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstile.llm import pu_quality, quality_rules, simhash, substring, url_rules
+from turnstile.llm import decontamination, pu_quality, quality_rules, simhash, substring, url_rules
 from turnstile.llm.common import read
 
 
@@ -10,6 +10,38 @@ def op9_simhash_dedup(spark, sf):
     return simhash.simhash_groups(read(spark, sf, "documents"), shingle=3, max_bits=2)
 
 
+def op1_decontamination(spark, sf):
+    return decontamination.find_leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+OP1_SQL = r"""
+WITH texts AS (
+  SELECT 'doc' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT 'item', item_id, text FROM benchmark WHERE item_id IS NOT NULL
+), numbered AS (
+  SELECT kind, id, row_number() OVER () AS nr, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM texts
+), words AS (
+  SELECT kind, id, nr, len(w) AS n, unnest(w) AS w0, generate_subscripts(w, 1) AS i FROM numbered
+), runs AS (
+  SELECT kind, id, n, w0, lead(w0, 1) OVER p AS w1, lead(w0, 2) OVER p AS w2, lead(w0, 3) OVER p AS w3,
+    lead(w0, 4) OVER p AS w4, i
+  FROM words WINDOW p AS (PARTITION BY nr ORDER BY i)
+), shingles AS (
+  SELECT DISTINCT kind, id, concat_ws(' ', w0, w1, w2, w3, w4) AS s
+  FROM runs WHERE w4 IS NOT NULL OR n < 5 AND i = 1
+), sizes AS (
+  SELECT id AS item_id, count(*) AS n_shingles FROM shingles WHERE kind = 'item' GROUP BY 1
+), shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles i ON d.s = i.s AND d.kind = 'doc' AND i.kind = 'item' GROUP BY 1, 2
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM shared JOIN sizes USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles - 1e-9)
+"""
+
+
 def op4_pu_quality(spark, sf):
     docs, labels = (read(spark, sf, t) for t in ("documents", "labels"))
     return pu_quality.score_quality(docs, labels, threshold=0.3)
@@ -57,5 +89,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op4_pu_quality, op6_url_rules, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op6_url_rules": OP6_SQL}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op4_pu_quality, op6_url_rules, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
