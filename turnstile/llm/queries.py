@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstile.llm import decontamination, pu_quality, quality_rules, simhash, substring, url_rules
+from turnstile.llm import decontamination, pii, pu_quality, quality_rules, simhash, substring, url_rules
 from turnstile.llm.common import read
 
 
@@ -80,6 +80,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op7_personal_data(spark, sf):
+    return pii.find_personal_data(read(spark, sf, "documents"))
+
+
 def op8_substring_dedup(spark, sf):
     return substring.remove_repeated(read(spark, sf, "documents"), window=13).drop("kept")
 
@@ -89,5 +93,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op4_pu_quality, op6_url_rules, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op4_pu_quality, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
