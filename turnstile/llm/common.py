@@ -22,6 +22,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the checkpoint folder, which driver and executors share."""
     ensure_checkpoint_dir(spark)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from turnstile.llm import decontamination, pii, pu_quality, quality_rules, simhash, substring, url_rules
-from turnstile.llm.common import read
+from turnstile.llm import decontamination, lm_score, pii, pu_quality, quality_rules, simhash, substring, url_rules
+from turnstile.llm.common import read, tokenizer_file
 
 
 def op9_simhash_dedup(spark, sf):
@@ -42,6 +42,10 @@ FROM shared JOIN sizes USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles -
 """
 
 
+def op3_lattice_score(spark, sf):
+    return lm_score.score_texts(read(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_pu_quality(spark, sf):
     docs, labels = (read(spark, sf, t) for t in ("documents", "labels"))
     return pu_quality.score_quality(docs, labels, threshold=0.3)
@@ -93,5 +97,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op4_pu_quality, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op3_lattice_score, op4_pu_quality, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
