@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from turnstile.llm import decontamination, lm_score, pii, pu_quality, quality_rules, simhash, substring, url_rules
+from pyspark.sql import functions as F
+
+from turnstile.llm import decontamination, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, url_rules
 from turnstile.llm.common import read, tokenizer_file
 
 
@@ -51,6 +53,11 @@ def op4_pu_quality(spark, sf):
     return pu_quality.score_quality(docs, labels, threshold=0.3)
 
 
+def op5_best_fit_packing(spark, sf):
+    packed = packing.pack(read(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -97,5 +104,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op3_lattice_score, op4_pu_quality, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
