@@ -7,7 +7,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm import hashing
@@ -31,17 +32,28 @@ class _Words:
     def anchors(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Position and hash of the anchors: runs that begin at a cover place of their text."""
         at = np.flatnonzero(hashing.run_starts(self.counts, width) & _IN_COVER[self.place % PERIOD])
-        return at, hashing.runs(self.words, width)[at]
+        # Anchors only choose what is compared, so 48 bits do.
+        return at, hashing.runs(self.words, width)[at] >> np.uint64(16)
 
     def windows(self, window: int) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit hash of every run of `window` words, by first position."""
-        return hashing.runs(self.words, window), hashing.runs(hashing.mix(self.words), window, _SECOND)
+        """96-bit hash of every run of `window` words, by first position, in two numbers."""
+        second = hashing.runs(hashing.mix(self.words), window, _SECOND)
+        return hashing.runs(self.words, window), second >> np.uint64(32)
 
 
 def _read(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Texts, ids and which rows have an id."""
-    ids = table.column("doc_id")
-    return text_bytes(table), ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy()
+    ids, unpack = table.column("doc_id"), zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in text_bytes(table, "packed")], ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy()
+
+
+def _pack(batches):
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = pa.array([pack(t) for t in text_bytes(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("block"), batch.column("doc_id"), packed], ["block", "doc_id", "packed"]
+        )
 
 
 def _words(texts: list[bytes]):
@@ -50,7 +62,7 @@ def _words(texts: list[bytes]):
 
 
 def _least_and_largest(keys: tuple[np.ndarray, ...], ids: np.ndarray):
-    """Distinct keys with their smallest and largest id."""
+    """Distinct keys with their smallest and largest id, ordered by the smallest (this compresses better)."""
     order = np.lexsort((ids, *reversed(keys)))
     keys, ids = tuple(k[order] for k in keys), ids[order]
     new = np.ones(len(ids), bool)
@@ -58,12 +70,12 @@ def _least_and_largest(keys: tuple[np.ndarray, ...], ids: np.ndarray):
         new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(ids)) - 1 if len(first) else first
+    first, last = (x[np.argsort(ids[first], kind="stable")] for x in (first, last))
     return tuple(k[first] for k in keys), ids[first], ids[last]
 
 
-def _table(block: int, names: list[str], columns: list[np.ndarray]) -> pa.Table:
-    arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns]
-    return pa.table([pa.array(np.full(len(columns[0]), block, np.int32)), *arrays], names=["block", *names])
+def _table(names: list[str], columns: list[np.ndarray]) -> pa.Table:
+    return pa.table([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names=names)
 
 
 def _concat(parts: list[np.ndarray], dtype) -> np.ndarray:
@@ -85,9 +97,10 @@ def remove_repeated(
     Two equal runs have their starts shifted against each other by some amount modulo 7; the cover holds both
     aligned places for every such amount, so an anchor of window - 6 words inside both runs begins at cover
     places of both documents. Only the 3/7 of positions in the cover are hashed and shuffled; anchors known in
-    two documents are then extended to whole runs, compared by 128-bit hashes of all their words.
+    two documents are then extended to whole runs, compared by 96-bit hashes of all their words.
 
-    Documents are dealt into blocks. What leaves a block has each anchor or run once, with its smallest and
+    A later exact copy of a whole text loses all its words (if it has `window` of them) and takes no part in the
+    search. Documents are dealt into blocks. What leaves a block has each anchor or run once, with its smallest and
     largest id, so a passage found in a third of all documents gives one row a block.
 
     Null texts count as empty. A row without an id keeps all its words and takes none from others. Rows with
@@ -98,25 +111,43 @@ def remove_repeated(
     width = window - PERIOD + 1
     texts = keyed_text(docs, id_col, text_col)
     blocks = max(1, math.ceil(texts.count() / docs_per_block))
-    place = F.coalesce(F.xxhash64("doc_id"), F.xxhash64("text"))
-    place = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(place)
-    dealt = texts.select(F.pmod(place, F.lit(blocks)).cast("int").alias("block"), "doc_id", "text")
 
-    def find_anchors(table: pa.Table) -> pa.Table:
+    def block_of(doc_id: str) -> Column:
+        return F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int")
+
+    place = F.when(F.col("doc_id").isNull(), block_of("text")).otherwise(block_of("doc_id"))
+    # The texts are shuffled once, compressed, and read by all three passes.
+    dealt = texts.select(place.alias("block"), "doc_id", "text").mapInArrow(
+        _pack, "block int, doc_id long, packed binary"
+    )
+    digests = texts.where("doc_id is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = (
+        digests.join(first, "digest").where("doc_id > first")
+        .select(block_of("doc_id").alias("block"), F.col("doc_id").alias("copy"))
+    )
+
+    def originals(table: pa.Table, others: pa.Table):
+        """Texts, ids and which rows take part in the search: not those without id, not later exact copies."""
         texts, ids, known = _read(table)
+        copy = others.column("copy").drop_null().to_numpy()
+        return texts, ids, known & ~np.isin(ids, copy)
+
+    def find_anchors(table: pa.Table, others: pa.Table) -> pa.Table:
+        texts, ids, known = originals(table, others)
         hashes, owners = [], []
         for w in _words(texts):
             at, h = w.anchors(width)
-            at, h = at[known[w.row[at]]], h[known[w.row[at]]]
-            hashes.append(h)
-            owners.append(ids[w.row[at]])
+            use = known[w.row[at]]
+            hashes.append(h[use])
+            owners.append(ids[w.row[at[use]]])
         (h,), lo, hi = _least_and_largest((_concat(hashes, np.uint64),), _concat(owners, np.int64))
-        return _table(table.column("block")[0].as_py(), ["h", "lo", "hi"], [h, lo, hi])
+        return _table(["h", "lo", "more"], [h, lo, hi - lo])
 
-    def extend(key, table: pa.Table, shared: pa.Table) -> pa.Table:
-        wanted = np.sort(shared.column("h").to_numpy().view(np.uint64))
+    def extend(table: pa.Table, others: pa.Table) -> pa.Table:
+        wanted = np.sort(others.column("h").drop_null().to_numpy().view(np.uint64))
         first, second, owners = [], [], []
-        texts, ids, known = _read(table) if table.num_rows and len(wanted) else ([], None, None)
+        texts, ids, known = originals(table, others) if len(wanted) else ([], None, None)
         for w in _words(texts):
             at, h = w.anchors(width)
             at = at[_found(wanted, h) & known[w.row[at]]]
@@ -129,11 +160,12 @@ def remove_repeated(
             owners.append(ids[w.row[starts]])
         keys = (_concat(first, np.uint64), _concat(second, np.uint64))
         (a, b), lo, hi = _least_and_largest(keys, _concat(owners, np.int64))
-        return _table(key[0].as_py(), ["a", "b", "lo", "hi"], [a, b, lo, hi])
+        return _table(["a", "b", "lo", "more"], [a, b, lo, hi - lo])
 
-    def remove(key, table: pa.Table, repeated: pa.Table) -> pa.Table:
-        texts, ids, known = _read(table)
-        a, b, lo = (repeated.column(c).to_numpy() for c in ("a", "b", "lo"))
+    def remove(table: pa.Table, others: pa.Table) -> pa.Table:
+        texts, ids, known = originals(table, others)
+        copy = np.isin(ids, others.column("copy").drop_null().to_numpy()) & table.column("doc_id").is_valid().to_numpy()
+        a, b, lo = (others.column(c).drop_null().to_numpy() for c in ("a", "b", "lo"))
         order = np.lexsort((b, a))  # signed, as both sides are compared
         a, b, lo = a[order], b[order], lo[order]
         out = []
@@ -148,10 +180,10 @@ def remove_repeated(
                 gone[starts] += 1
                 np.subtract.at(gone, starts + window, 1)
             gone = np.cumsum(gone)[:-1] > 0
-            for k, (end, n) in enumerate(zip(w.ends, w.counts, strict=True)):
-                row = w.row[end - 1] if n else len(out)
+            for end, n in zip(w.ends, w.counts, strict=True):
+                row = len(out)
                 words = texts[row].split()
-                drop = gone[end - n : end]
+                drop = np.full(n, n >= window) if copy[row] else gone[end - n : end]
                 if drop.any():
                     words = [x for x, d in zip(words, drop.tolist(), strict=True) if not d]
                 kept = b" ".join(words)
@@ -168,27 +200,27 @@ def remove_repeated(
             names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"],
         )
 
-    anchors = dealt.groupBy("block").applyInArrow(find_anchors, "block int, h long, lo long, hi long")
+    def with_copies(found: DataFrame) -> DataFrame:
+        return found.unionByName(copies, allowMissingColumns=True).groupBy("block")
+
+    by_block = dealt.groupBy("block")
+    anchors = by_block.cogroup(copies.groupBy("block")).applyInArrow(find_anchors, "h long, lo long, more long")
     # At most one row a block shares a key, however often its passage occurs.
     by_anchor = Window.partitionBy("h")
     shared = (
-        anchors.withColumns({"first": F.min("lo").over(by_anchor), "last": F.max("hi").over(by_anchor)})
+        anchors.withColumns({"first": F.min("lo").over(by_anchor), "last": F.max(F.expr("lo + more")).over(by_anchor)})
         .where("first < last")
-        .select("block", "h")
+        .select(block_of("lo").alias("block"), "h")
     )
-    runs = (
-        dealt.groupBy("block").cogroup(shared.groupBy("block"))
-        .applyInArrow(extend, "block int, a long, b long, lo long, hi long")
-    )
+    runs = by_block.cogroup(with_copies(shared)).applyInArrow(extend, "a long, b long, lo long, more long")
     repeated = (
         runs.withColumn("first", F.min("lo").over(Window.partitionBy("a", "b")))
-        .where("hi > first")
-        .select("block", "a", "b", F.col("first").alias("lo"))
+        .where("lo + more > first")
+        .select(block_of("lo").alias("block"), "a", "b", F.col("first").alias("lo"))
+    )
+    return by_block.cogroup(with_copies(repeated)).applyInArrow(
+        remove, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
     )
-    return (
-        dealt.groupBy("block").cogroup(repeated.groupBy("block"))
-        .applyInArrow(remove, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
-    )
 
 
 def _found(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
