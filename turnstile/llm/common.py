@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -75,8 +74,3 @@ def by_size(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int
         size += len(text)
     if start < len(texts):
         yield start, len(texts)
-
-
-def crc32_of_ids(ids) -> int:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids.astype("<u4").tobytes())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import decontamination, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, url_rules
+from turnstile.llm import decontamination, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, token_files, url_rules
 from turnstile.llm.common import read, tokenizer_file
 
 
@@ -44,6 +44,11 @@ FROM shared JOIN sizes USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles -
 """
 
 
+def op2_token_files(spark, sf):
+    back = token_files.round_trip(read(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    return back.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_lattice_score(spark, sf):
     return lm_score.score_texts(read(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -104,5 +109,5 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
