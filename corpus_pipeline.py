@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from turnstile.llm import simhash
-from turnstile.llm.common import read, stash
+from turnstile.llm import decontamination, packing, pii, pu_quality, simhash
+from turnstile.llm.common import read, stash, tokenizer_file
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return pu_quality.keep_good(docs, read(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,13 +19,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
-STAGES = [("simhash_dedup", near_duplicates)]
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes its kind in brackets; n_chars follows the text."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their ids and their places in sequences of 1024 tokens."""
+    pieces = packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("pu_quality", good_quality),
+    ("simhash_dedup", near_duplicates),
+    ("decontamination", no_benchmark),
+    ("personal_data", no_personal_data),
+    ("packing", packed),
+]
 
-ORACLE_SQL = None  # no stage can be stated in SQL
+ORACLE_SQL = None  # the classifier and the tokenizer cannot be stated in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a data folder."""
+    """All stages over the documents of a data folder, each written and read again by the next."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir))
