@@ -208,7 +208,8 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
 def _spanning_forest(fps: list[int], max_bits: int) -> list[tuple[int, int]]:
     """Edges from each fingerprint to the smallest one that it reaches among these."""
     array = np.array(sorted(set(fps)), np.int64)
-    near = np.bitwise_count(array[:, None] ^ array[None, :]) <= max_bits
+    bits = array.view(np.uint64)  # of signed numbers numpy counts the bits of the absolute value
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= max_bits
     label = np.arange(len(array))
     while True:
         lower = np.where(near, label[None, :], len(array)).min(axis=1)
