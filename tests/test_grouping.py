@@ -74,7 +74,8 @@ def test_enrich(spark, broadcast_limit):
     badges = spark.createDataFrame(rows, BADGES)
     doors = spark.createDataFrame([(1, "Door 1")], "rank bigint, Door string")
     groups = grouping.balanced_groups(grouping.eid_month_counts(badges), 10)
-    got = enrich.enrich_badges(badges, groups, doors, 10)
+    assert enrich.enrich_badges(badges, groups, doors, 10).count() == len(rows) - 1  # index value 0
+    got = enrich.enrich_badges(badges, groups, doors, 10, first_index=None)
     assert "rank" not in got.columns and got.count() == len(rows)
     seen = {(r.eid, r.month): (r.Group, r.oversized, r.door) for r in got.collect()}
     assert seen == {

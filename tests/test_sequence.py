@@ -123,3 +123,13 @@ def test_pairs_without_a_time_are_reported(spark):
     assert stays.pair_stays(cleaned).count() == 0
     assert stays.orphans(cleaned).count() == 0
     assert stays.unpaired(cleaned).count() == 2
+
+
+def test_a_person_over_capacity_is_marked_at_any_total(spark):
+    """A share of all rows must not decide: one busy person among very many rows is still split."""
+    many = spark.range(200_000).select(
+        F.lit(1).alias("Group"), F.concat(F.lit("p"), F.col("id")).alias("eid"), F.lit("2024-01-01").cast("date").alias("month")
+    )
+    busy = spark.range(3).select(F.lit(1).alias("Group"), F.lit("busy").alias("eid"), F.lit("2024-01-01").cast("date").alias("month"))
+    marked = sequence.mark_oversized(many.union(busy), 2).where("oversized")
+    assert [r.eid for r in marked.collect()] == ["busy"] * 3

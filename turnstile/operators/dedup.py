@@ -20,7 +20,10 @@ def keep_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by `order`; the remaining columns break ties."""
+    """The first row of each key by `order`; the remaining columns break ties.
+
+    The least of a struct: combined before the shuffle, by sorting where Spark keeps no hash table for structs.
+    """
     others = [c for c in df.columns if c not in keys]
     ranked = F.struct(*order, *[c for c in others if c not in order])
     return (

@@ -6,42 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.operators.grouping import GROUP_CAPACITY
-from turnstile.operators.sequence import MAX_SPLIT_KEYS
 
+FIRST_INDEX = 1  # fixed value: batches of index values start here
 _SALTS = 4096
 
 
 def enrich_badges(
-    badges: DataFrame, groups: DataFrame, doors: DataFrame, capacity: int = GROUP_CAPACITY
+    badges: DataFrame,
+    groups: DataFrame,
+    doors: DataFrame,
+    capacity: int = GROUP_CAPACITY,
+    first_index: int | None = FIRST_INDEX,
 ) -> DataFrame:
     """Left joins to the groups on (eid, month) and to the door mapping on rank.
 
-    Ids with over 1/MAX_SPLIT_KEYS of all swipes get their group by a broadcast of
-    just those ids. Their rows, and rows without an id, then carry a salt that
-    matches nothing, which spreads them over the shuffle join of the rest. (Copies
-    of one row share a salt; being on the outer side, adaptive execution can split
-    such a partition.) The door mapping is joined without a hint: Spark broadcasts
-    it if its size allows.
+    Only rows with an index value of `first_index` or more take part, as batches run
+    over 1..N; None takes all rows. Rows without an id carry a salt that matches
+    nothing, which spreads them over the join. The rows of a very frequent id are on
+    the outer side, so adaptive execution splits them. Neither side has a hint: Spark
+    broadcasts groups or doors if their size allows.
     """
-    total = groups.agg(F.sum("count")).scalar()
+    if first_index is not None:
+        badges = badges.where(F.col("index_value") >= first_index)
     wanted = groups.select("eid", "month", "Group", (F.col("count") > capacity).alias("oversized"))
-    busy = groups.where(
-        (F.col("count") > capacity) & (F.col("count") * MAX_SPLIT_KEYS > total)
-    ).select("eid", "month", F.col("Group").alias("busy_group"))
     spread = F.pmod(F.xxhash64("localtimestamp", "index_value", "rank"), F.lit(_SALTS - 1)) + 1
-    placed = badges.join(F.broadcast(busy), ["eid", "month"], "left").withColumn(
-        "salt",
-        F.when(F.col("eid").isNull() | F.col("busy_group").isNotNull(), spread).otherwise(F.lit(0)),
-    )
+    salted = badges.withColumn("salt", F.when(F.col("eid").isNull(), spread).otherwise(F.lit(0)))
     return (
-        placed.join(wanted.withColumn("salt", F.lit(0).cast("bigint")), ["eid", "month", "salt"], "left")
-        .withColumns(
-            {
-                "Group": F.coalesce("busy_group", "Group"),
-                "oversized": F.coalesce("oversized", F.col("busy_group").isNotNull()),
-            }
-        )
-        .drop("salt", "busy_group")
+        salted.join(wanted.withColumn("salt", F.lit(0).cast("bigint")), ["eid", "month", "salt"], "left")
+        .withColumn("oversized", F.coalesce("oversized", F.lit(False)))
+        .drop("salt")
         .join(doors.select("rank", F.col("Door").alias("door")), "rank", "left")
         .drop("rank")
     )

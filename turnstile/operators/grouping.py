@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,19 +50,28 @@ def _fill_plan(capacity: int):
     return plan
 
 
-def balanced_groups(counts: DataFrame, capacity: int = GROUP_CAPACITY) -> DataFrame:
+def _checkpointed(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def balanced_groups(
+    counts: DataFrame,
+    capacity: int = GROUP_CAPACITY,
+    hold: Callable[[DataFrame], DataFrame] = _checkpointed,
+) -> DataFrame:
     """Fill groups up to `capacity` swipes, per month in order of (count, eid).
 
     A person's place follows from the rank within their count class. Ranks are
     counted per range of (month, count, eid) plus the people in earlier ranges, so
-    no class needs to fit into one task. The ranges are checkpointed because two
-    branches must see the same ones. Missing ids sort last in their class.
+    no class needs to fit into one task. Two branches must see the same ranges, so
+    `hold` keeps them: by a checkpoint, or by a working table as in the monthly job.
+    Missing ids sort last in their class.
     """
-    ensure_checkpoint_dir(counts.sparkSession)
-    placed = (
-        counts.repartitionByRange("month", "count", F.col("eid").asc_nulls_last())
-        .withColumn("part", F.spark_partition_id())
-        .checkpoint()
+    placed = hold(
+        counts.repartitionByRange("month", "count", F.col("eid").asc_nulls_last()).withColumn(
+            "part", F.spark_partition_id()
+        )
     )
     parts = placed.groupBy("month", "count", "part").agg(F.count("*").alias("people"))
     earlier = F.sum("people").over(
@@ -92,7 +103,7 @@ def balanced_groups(counts: DataFrame, capacity: int = GROUP_CAPACITY) -> DataFr
     beyond = place - F.col("first_fill") - 1
     fits = place <= F.col("first_fill")
     group = F.when(fits, F.col("open_group")).otherwise(
-        F.col("open_group") + 1 + F.floor(beyond / F.col("per_group"))
+        F.col("open_group") + 1 + F.call_function("div", beyond, F.col("per_group"))
     )
     running = F.when(fits, F.col("open_sum") + place * F.col("count")).otherwise(
         (beyond % F.col("per_group") + 1) * F.col("count")
@@ -114,7 +125,9 @@ def month_max(df: DataFrame, column: str) -> DataFrame:
 def batch_bounds(maxima: DataFrame, column: str) -> DataFrame:
     """Last number of each of five batches over 1..N."""
     n = F.col(column)
-    step = F.when((n % 5 == 0) | (n % 4 == 0), F.floor(n / 5)).otherwise(F.floor(n / 4))
+    step = F.when((n % 5 == 0) | (n % 4 == 0), F.expr(f"`{column}` div 5")).otherwise(
+        F.expr(f"`{column}` div 4")
+    )
 
     def bound(k: int) -> Column:
         return F.greatest(step * k if k < BATCHES else n, F.lit(k)).cast("bigint")
@@ -136,15 +149,14 @@ def batch_ranges(bounds: DataFrame) -> DataFrame:
 
 
 def batch_members(ranges: DataFrame) -> DataFrame:
-    """Every number of every batch, unfolded in chunks that are spread over the cluster."""
-    chunks = ranges.where(F.col("first") <= F.col("last")).select(
-        "month",
-        "batch",
-        "last",
-        F.explode(F.sequence("first", "last", F.lit(_CHUNK))).alias("start"),
-    )
+    """Every number of every batch, unfolded in three steps: no task makes long lists for others."""
     width = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    end = F.least(F.col("start") + _CHUNK - 1, F.col("last"))
-    return chunks.repartition(width, "month", "start").select(
-        "month", "batch", F.explode(F.sequence("start", end)).alias("number")
-    )
+    rows = ranges.where(F.col("first") <= F.col("last")).select("month", "batch", "first", "last")
+    for step in (_CHUNK * _CHUNK, _CHUNK):
+        end = F.least(F.col("start") + step - 1, F.col("last"))
+        rows = (
+            rows.withColumn("start", F.explode(F.sequence("first", "last", F.lit(step))))
+            .select("month", "batch", F.col("start").alias("first"), end.alias("last"))
+            .repartition(width, "month", "first")
+        )
+    return rows.select("month", "batch", F.explode(F.sequence("first", "last")).alias("number"))

@@ -4,15 +4,17 @@ The rules look at direct neighbours in time order: of several `out` swipes in a
 row the latest counts, of several `in` swipes the earliest. Rows without a
 timestamp come last in both directions of time.
 
-Two things keep one busy person from filling a task:
-
-* Swipes of one person with the same time, direction and facility are folded by
-  an aggregate with map-side combine before any window runs. This also removes
-  exact copies.
-* A person marked `oversized` is first worked on per minute. Pairs well inside a
-  minute are settled there; at most the two first and two last rows of a minute
-  go on to the pass over the whole person, which is thereby bounded by the
-  minutes of a month.
+People within the capacity of a group are shuffled once, by person; folding of
+simultaneous swipes and all windows use that partitioning. Two things keep one
+busy person from filling a task:
+
+* Swipes of a person marked `oversized` with the same time, direction and
+  facility are folded by an aggregate with map-side combine before any window
+  runs. This also removes exact copies.
+* Such a person is first worked on per minute. Pairs well inside a minute are
+  settled there; at most the two first and two last rows of a minute go on to
+  the pass over the whole person, which is thereby bounded by the minutes of a
+  month.
 """
 
 from __future__ import annotations
@@ -25,10 +27,6 @@ from turnstile.functions import clock
 from turnstile.schemas import PERSON
 
 DIRECTIONS = ("in", "out")
-# Keys above this share of all rows are split. There can be at most this many of
-# them, so their list may be broadcast whatever the size of the data.
-MAX_SPLIT_KEYS = 50_000
-
 _ROW = (*PERSON, "oversized", "localtimestamp", "direction", "Facility", "index_value")
 
 
@@ -45,16 +43,15 @@ def time_order() -> list[Column]:
 def mark_oversized(badges: DataFrame, capacity: int) -> DataFrame:
     """Flag people with more than `capacity` rows in a month and group.
 
-    Enriched badges already carry the flag; this is for other input. A key must
-    also hold over 1/MAX_SPLIT_KEYS of all rows, which bounds the broadcast list.
+    Enriched badges already carry the flag; this is for other input. Few people are
+    over the capacity, but nothing bounds their number, so Spark chooses the join by
+    the measured size; a busy person's rows are on the outer side, which adaptive
+    execution splits.
     """
     counts = badges.groupBy(*PERSON).agg(F.count("*").alias("swipes"))
-    total = counts.agg(F.sum("swipes")).scalar()
-    busy = counts.where(
-        (F.col("swipes") > capacity) & (F.col("swipes") * MAX_SPLIT_KEYS > total)
-    ).select(*PERSON, F.lit(True).alias("busy"))
+    busy = counts.where(F.col("swipes") > capacity).select(*PERSON, F.lit(True).alias("busy"))
     return (
-        badges.join(F.broadcast(busy), list(PERSON), "left")
+        badges.join(busy, list(PERSON), "left")
         .withColumn("oversized", F.coalesce("busy", F.lit(False)))
         .drop("busy")
     )
@@ -66,8 +63,6 @@ def fold_simultaneous(badges: DataFrame) -> DataFrame:
     Swipes of one direction at one time are neighbours, so run removal would keep
     the first `in` and the last `out` of them anyway.
     """
-    flag = F.col("oversized") if "oversized" in badges.columns else F.lit(False)
-    badges = badges.withColumn("oversized", F.coalesce(flag, F.lit(False)))
     return (
         badges.where(F.col("direction").isin(*DIRECTIONS))
         .groupBy(*_ROW[:-1])
@@ -136,11 +131,19 @@ def _with_neighbours(rows: DataFrame, window: WindowSpec) -> DataFrame:
 
 def clean_sequence(badges: DataFrame) -> DataFrame:
     """Alternating in/out rows per person, with first/last flags and each row's partner."""
-    slices = fold_simultaneous(badges).withColumn(
-        "slice", F.when(F.col("oversized"), clock.floor_minute(F.col("localtimestamp")))
-    )
-    # `oversized` is part of the window keys so that a filter on it reaches the scan.
-    parts = (*PERSON, "oversized", "slice")
+    flag = F.col("oversized") if "oversized" in badges.columns else F.lit(False)
+    badges = badges.withColumn("oversized", F.coalesce(flag, F.lit(False)))
+    # The fold and the windows of ordinary people need no exchange after this one.
+    ordinary = fold_simultaneous(badges.where(~F.col("oversized")).repartition(*PERSON))
+    window = Window.partitionBy(*PERSON).orderBy(*time_order())
+    plain = _with_neighbours(drop_runs(ordinary, *PERSON), window)
+    return plain.unionByName(_clean_oversized(badges.where("oversized"))).drop("oversized")
+
+
+def _clean_oversized(badges: DataFrame) -> DataFrame:
+    """The same for people marked oversized, by minute and then over what the minutes leave open."""
+    slices = fold_simultaneous(badges).withColumn("slice", clock.floor_minute(F.col("localtimestamp")))
+    parts = (*PERSON, "slice")
     window = Window.partitionBy(*parts).orderBy(*time_order())
     local = _with_neighbours(
         drop_runs(slices, *parts).withColumns(
@@ -157,11 +160,11 @@ def clean_sequence(badges: DataFrame) -> DataFrame:
     settled = F.when(F.col("direction") == "in", settled_in).otherwise(settled_out)
 
     columns = [c for c in local.columns if c not in ("slice", "two_before", "two_after")]
-    inside = local.where(~F.col("oversized") | settled).select(*columns)
-    edges = local.where(F.col("oversized") & ~settled).select(*_ROW)
+    inside = local.where(settled).select(*columns)
+    edges = local.where(~settled).select(*_ROW)
     whole = Window.partitionBy(*PERSON).orderBy(*time_order())
     joined = _with_neighbours(drop_runs(edges, *PERSON), whole)
-    return inside.unionByName(joined.select(*columns)).drop("oversized")
+    return inside.unionByName(joined.select(*columns))
 
 
 def unknown_directions(badges: DataFrame) -> DataFrame:
