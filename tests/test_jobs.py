@@ -29,7 +29,7 @@ def same(a, b):
 
 
 def test_run_twice(spark, names):
-    raw = badge_view.badges(spark, SF).drop("view_group")
+    raw = badge_view.raw_badges(spark, SF)
     doors = badge_view.doors(spark)
     for _ in range(2):
         done = jobs.run(raw, doors, "2024-01-01", "Weekly", capacity=1_000, names=names)
@@ -89,11 +89,31 @@ def test_replace_months(spark, names):
 
 def test_append_and_drop(spark, names):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
-    tables.append(df, names.batch_list)
-    tables.append(df.select("v", "k"), names.batch_list)
-    tables.append_query(spark, f"SELECT 'b' AS k, sum(v) AS v FROM {names.batch_list}", names.batch_list)
-    assert sorted(tuple(r) for r in tables.query(spark, f"SELECT * FROM {names.batch_list}").collect()) == [
+    tables.append(df, names.clean_swipes)
+    tables.append(df.select("v", "k"), names.clean_swipes)
+    tables.append_query(spark, f"SELECT 'b' AS k, sum(v) AS v FROM {names.clean_swipes}", names.clean_swipes)
+    assert sorted(tuple(r) for r in tables.query(spark, f"SELECT * FROM {names.clean_swipes}").collect()) == [
         ("a", 1), ("a", 1), ("b", 2),
     ]
-    tables.drop_tables(spark, names.batch_list, names.batch_list)
-    assert not spark.catalog.tableExists(names.batch_list)
+    tables.drop_tables(spark, names.clean_swipes, names.clean_swipes)
+    assert not spark.catalog.tableExists(names.clean_swipes)
+
+
+def test_failure_leaves_the_old_month(spark, names):
+    rows = spark.createDataFrame([(1, MONTH)], "v int, Month date")
+    tables.replace_months(rows, names.eid_daily, [MONTH])
+    broken = rows.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_months(broken, names.eid_daily, [MONTH])
+    assert [tuple(r) for r in spark.table(names.eid_daily).collect()] == [(1, MONTH)]
+
+
+def test_rejected_rows_are_kept(spark, names):
+    raw = badge_view.raw_badges(spark, SF).withColumns(
+        {
+            "direction": F.when(F.second("localtimestamp") % 9 == 0, F.lit("foo")).otherwise(F.col("direction")),
+            "localtimestamp": F.when(F.second("localtimestamp") % 10 != 3, F.col("localtimestamp")),
+        }
+    )
+    jobs.run(raw, badge_view.doors(spark), "2024-01-01", "Weekly", capacity=1_000, names=names)
+    assert {r.reason for r in spark.table(names.rejected).select("reason").distinct().collect()} == {"direction", "time"}

@@ -67,5 +67,15 @@ def retain(df: DataFrame, months: DataFrame, frequency: str, column: str = "Mont
     return kept
 
 
+def refreshed(df: DataFrame, months: DataFrame, column: str = "Month") -> DataFrame:
+    """What a weekly run leaves of rows that already hold the listed months anew: all that is not too old, in one
+    filter (`retain` plus the listed months)."""
+    latest = months.agg(F.max("date")).scalar()
+    too_old = F.col(column) < F.add_months(latest, -KEPT_MONTHS["Weekly"])
+    listed = _month_list(months, "listed")
+    marked = df.join(listed, df[column] == F.col("listed"), "left")
+    return marked.where(~F.coalesce(too_old, F.lit(False)) | F.col("listed").isNotNull()).drop("listed")
+
+
 def _month_list(months: DataFrame, column: str) -> DataFrame:
     return F.broadcast(months.select(F.col("date").alias(column)).distinct())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnstile import schemas as S
 from turnstile.functions import clock
+from turnstile.operators import sequence, stays
 from turnstile.operators.stays import _is_pair, is_orphan, pair_stays
 
 _CELL = ("month", "Group", "Facility")
@@ -26,7 +27,7 @@ def orphan_counts(orphan_rows: DataFrame) -> DataFrame:
 
 def duration_metric(minutes: Column, anomalous: Column) -> Column:
     """Name of the duration metric a stay counts for, or null."""
-    hour = F.floor(minutes / _HOUR).cast("int")
+    hour = F.call_function("div", minutes, F.lit(_HOUR)).cast("int")
     after = S.LAST_HOUR + 1
     bucket = (
         F.when(minutes == S.HALF_HOUR_MINUTES, F.lit(f"{S.HALF_HOUR_MINUTES}minsPairsOfBadges"))
@@ -55,6 +56,14 @@ def duration_profile(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def rejected(rows: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Normalised rows that take no part in stays: foreign directions, and pairs that lack a time."""
+    columns = ("month", "Group", "eid", "Facility", "direction", "localtimestamp", "index_value")
+    foreign = sequence.unknown_directions(rows).select(*columns, F.lit("direction").alias("reason"))
+    incomplete = stays.unpaired(cleaned).select(*columns, F.lit("time").alias("reason"))
+    return foreign.unionByName(incomplete)
+
+
 def quality_profile(cleaned: DataFrame) -> DataFrame:
     """All 90 metrics per facility and group.
 

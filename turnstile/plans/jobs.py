@@ -34,7 +34,7 @@ class Tables:
     """Table names of a run."""
 
     date_range: str = "date_range"
-    batch_list: str = "batch_list"
+    eid_ranges: str = "eid_ranges"
     eid_groups: str = "eid_groups"
     grouped_badges: str = "grouped_badges"
     clean_swipes: str = "clean_swipes"
@@ -43,11 +43,12 @@ class Tables:
     data_quality: str = "data_quality"
     peak_util_summary: str = "peak_util_summary"
     data_quality_summary: str = "data_quality_summary"
+    rejected: str = "rejected"
 
     def working(self) -> tuple[str, ...]:
         return (
             self.date_range,
-            self.batch_list,
+            self.eid_ranges,
             self.eid_groups,
             self.grouped_badges,
             self.clean_swipes,
@@ -61,38 +62,42 @@ def group_badges(
     capacity: int = grouping.GROUP_CAPACITY,
     names: Tables = Tables(),
 ) -> None:
-    """Months, batches by index value, groups of people, and badges with group and door."""
+    """Months, groups of people, and badges with group and door."""
     spark, dates = badges.sparkSession, sorted(set(month_list))
     io.overwrite(_date_range(spark, dates), names.date_range)
     listed = badges.where(F.col("month").isin(dates))
-    maxima = grouping.month_max(listed, "index_value")
-    io.overwrite(grouping.batch_bounds(maxima, "index_value"), names.batch_list)
-    groups = grouping.balanced_groups(grouping.eid_month_counts(listed), capacity)
+
+    def hold(df: DataFrame) -> DataFrame:
+        io.overwrite(df, names.eid_ranges)
+        return spark.table(names.eid_ranges)
+
+    groups = grouping.balanced_groups(grouping.eid_month_counts(listed), capacity, hold)
     io.overwrite(groups, names.eid_groups, "month")
     grouped = enrich.enrich_badges(listed, spark.table(names.eid_groups), doors, capacity)
     # Oversized people get their own folders, which the pass over them alone reads.
-    io.overwrite(grouped, names.grouped_badges, "month", "oversized")
+    io.overwrite(grouped, names.grouped_badges, "month", "oversized", compact=True)
 
 
 def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables()) -> None:
-    """Batches by group, cleaned swipes, and the three detail tables for the listed months.
+    """Cleaned swipes, the three detail tables and the rejected rows for the listed months.
 
-    The cleaned swipes are written once and feed all three.
+    The cleaned swipes are written once and feed all of them.
     """
     dates = _dates(spark, names)
     badges = spark.table(names.grouped_badges)
-    bounds = grouping.batch_bounds(grouping.month_max(badges, "Group"), "Group")
-    io.overwrite(bounds, names.batch_list)
-    cleaned = sequence.clean_sequence(normalise.normalise_rows(badges))
+    rows = normalise.normalise_rows(badges)
+    cleaned = sequence.clean_sequence(rows)
     io.overwrite(cleaned, names.clean_swipes, "month")
 
     cleaned = spark.table(names.clean_swipes)
+    rejected = quality.rejected(rows, cleaned).withColumnRenamed("month", "Month")
     spans = stays.day_spans(cleaned)
     hours = occupancy.expand_hours(occupancy.round_hours(spans))
     details = {
         names.eid_daily: occupancy.eid_daily(spans),
         names.peak_util: occupancy.hourly_occupancy(hours),
         names.data_quality: quality.quality_profile(cleaned),
+        names.rejected: rejected,
     }
     for table, detail in details.items():
         expire_months(spark, table, dates, frequency)

@@ -48,6 +48,13 @@ grouped AS (
                                    ELSE o_custkey % 50 % 12 END AS VARCHAR), 2, '0') || ' Floor' AS door
   FROM orders)"""
 
+_FLAWED = """
+flawed AS (
+  SELECT eid, CASE WHEN second("localtimestamp") % 10 <> 3 THEN "localtimestamp" END AS "localtimestamp",
+         CASE WHEN second("localtimestamp") % 9 = 0 THEN 'Fo o' ELSE direction END AS direction,
+         month, index_value, "Group", door
+  FROM grouped WHERE NOT (index_value % 17 = 0 AND second("localtimestamp") % 5 = 0))"""
+
 _ORDER_BADGES = """
 order_badges AS (
   SELECT 'USER ' || o_custkey AS eid, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
@@ -86,7 +93,8 @@ enriched AS (
          coalesce(g."count" > {Q.EVENT_CAPACITY}, false) AS oversized
   FROM badges AS b
   LEFT JOIN groups AS g ON g.eid = b.eid AND g.month = b.month
-  LEFT JOIN doors AS d ON d.rank = b.rank),
+  LEFT JOIN doors AS d ON d.rank = b.rank
+  WHERE b.index_value % 11 <> 0 AND b.index_value % 13 <> 0),
 grouped AS (SELECT * EXCLUDE (oversized) FROM enriched)"""
 
 # From grouped badges to stays.
@@ -401,6 +409,33 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(max(month) - INTERVAL 1 MONTH AS DATE) AS date FROM order_badges"
         ),
         "distinct_values": _view("SELECT count(*) AS n FROM (SELECT DISTINCT eid FROM badges)"),
+        "processing_months_listed": _orders(
+            "SELECT max(month) AS date FROM order_badges UNION ALL SELECT DATE '1999-02-01'"
+        ),
+        "text_timestamps": (
+            "SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 "
+            "OR event_id % 17 = 0 OR event_id % 19 = 0 THEN NULL ELSE date_trunc('second', ts) END AS ts FROM events"
+        ),
+        "complement_split": _view(
+            "SELECT month, coalesce(direction = 'In', false) AS met, count(*) AS n FROM badges GROUP BY ALL"
+        ),
+        "unknown_directions": _sql(
+            'SELECT month, "Group", lower(replace(eid, \' \', \'\')) AS eid, \'foo\' AS direction, '
+            'upper(substr(replace(door, \' \', \'\'), 1, 11)) AS "Facility", index_value FROM flawed '
+            "WHERE direction = 'Fo o' AND eid IS NOT NULL AND door IS NOT NULL",
+            _BADGES, _VIEW_GROUPED, _FLAWED,
+        ),
+        "overwritten": _orders("SELECT * FROM order_counts"),
+        "appended": _orders("SELECT * FROM order_counts UNION ALL SELECT * FROM order_counts"),
+        "appended_query": _orders(
+            'SELECT * FROM order_counts UNION ALL SELECT eid, month, "count" + 1 FROM order_counts WHERE "count" > 1'
+        ),
+        "months_replaced": _orders(
+            'SELECT eid, month, CASE WHEN month IN (SELECT date FROM listed) THEN "count" * 10 ELSE "count" END AS "count" '
+            "FROM order_counts WHERE month NOT IN (SELECT max(date) FROM listed)"
+        ),
+        "dropped": _orders('SELECT * FROM order_counts WHERE "count" > 1'),
+        "queried": _orders('SELECT month, CAST(sum("count") AS BIGINT) AS n FROM order_counts GROUP BY month'),
         "monthly_eid_daily": _monthly("SELECT * FROM daily"),
         "monthly_peak_util": _monthly("SELECT * FROM hourly"),
         "monthly_data_quality": _monthly("SELECT * FROM profile"),

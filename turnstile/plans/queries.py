@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile.functions import clock, text
 from turnstile.operators import (
@@ -21,8 +23,8 @@ from turnstile.operators import (
     sequence,
     stays,
 )
-from turnstile.session import ensure_checkpoint_dir
 from turnstile.sources import badge_view as view
+from turnstile.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +43,10 @@ def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return sequence.clean_sequence(sequence.mark_oversized(rows, BUSY))
 
 
+def _flawed(spark: SparkSession, sf: str) -> DataFrame:
+    return normalise.normalise_rows(view.flawed_badges(spark, sf))
+
+
 def _spans(spark: SparkSession, sf: str) -> DataFrame:
     return stays.day_spans(_cleaned(spark, sf))
 
@@ -50,7 +56,8 @@ def _hourly(spans: DataFrame) -> DataFrame:
 
 
 def _order_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return sequence.clean_sequence(normalise.normalise_rows(view.order_swipes(spark, sf)))
+    rows = normalise.normalise_rows(view.order_swipes(spark, sf))
+    return sequence.clean_sequence(sequence.mark_oversized(rows, BUSY))
 
 
 def _order_hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,16 +80,13 @@ def _listed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    raw = view.badges(spark, sf).drop("view_group")
+    raw = view.raw_badges(spark, sf)
     groups = grouping.balanced_groups(grouping.eid_month_counts(raw), EVENT_CAPACITY)
-    # Used several times; the monthly job writes it as a table.
-    return enrich.enrich_badges(raw, groups.checkpoint(), view.doors(spark), EVENT_CAPACITY)
+    return enrich.enrich_badges(raw, groups, view.doors(spark), EVENT_CAPACITY)
 
 
 def _enriched_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    # Read by the pass over everyone and by the pass over oversized people; also a table in the job.
-    badges = _enriched(spark, sf).checkpoint()
-    return sequence.clean_sequence(normalise.normalise_rows(badges))
+    return sequence.clean_sequence(normalise.normalise_rows(_enriched(spark, sf)))
 
 
 # --- queries -----------------------------------------------------------------
@@ -291,10 +295,7 @@ def retain_monthly(spark, sf):
 
 def weekly_refresh(spark, sf):
     """An hourly table after a weekly run: what is kept, plus the listed months anew."""
-    ensure_checkpoint_dir(spark)
-    hourly, listed = _order_hourly(spark, sf).checkpoint(), _listed(spark, sf)
-    kept = months.retain(hourly, listed, "Weekly")
-    return kept.unionByName(months.in_months(hourly, listed))
+    return months.refreshed(_order_hourly(spark, sf), _listed(spark, sf))
 
 
 def processing_months_weekly(spark, sf):
@@ -315,6 +316,99 @@ def processing_months_monthly(spark, sf):
     return months.processing_months(rows, "", "Monthly", rows.agg(F.max("month")).scalar())
 
 
+def processing_months_listed(spark, sf):
+    """A list as text with blanks and an empty item, made from the months of the table."""
+    rows = view.order_badges(spark, sf)
+    newest = rows.agg(F.max("month").alias("m")).first()["m"]  # one value
+    return months.processing_months(rows, f" {newest.isoformat()}, ,1999-02-01 ", "Weekly")
+
+
+def text_timestamps(spark, sf):
+    """Timestamps as text, some of them no timestamps."""
+    ts = view.timestamp_texts(spark, sf)
+    return ts.select("event_id", clock.parse(F.col("text"), T.StringType()).alias("ts"))
+
+
+def complement_split(spark, sf):
+    """Both sides of a condition that is sometimes null, in numbers per month."""
+    met, rest = dedup.split_by(view.badges(spark, sf), F.col("direction") == "In")
+    both = met.withColumn("met", F.lit(True)).unionByName(rest.withColumn("met", F.lit(False)))
+    return both.groupBy("month", "met").agg(F.count("*").alias("n"))
+
+
+def unknown_directions(spark, sf):
+    return sequence.unknown_directions(_flawed(spark, sf)).select(
+        "month", "Group", "eid", "direction", "Facility", "index_value"
+    )
+
+
+def rejected_rows(spark, sf):
+    rows = _flawed(spark, sf)
+    return quality.rejected(rows, sequence.clean_sequence(rows)).groupBy("month", "reason").agg(F.count("*").alias("n"))
+
+
+def _sink(spark, sf, steps) -> DataFrame:
+    """Run steps on a new table of the session catalog and read it back."""
+    table = f"turnstile_sink_{uuid.uuid4().hex[:12]}"
+    steps(_order_counts(spark, sf), table)
+    return tables.read_table(spark, table)
+
+
+def overwritten(spark, sf):
+    def steps(counts, table):
+        tables.overwrite(counts.limit(1), table)
+        tables.overwrite(counts, table, "month", compact=True)
+
+    return _sink(spark, sf, steps)
+
+
+def appended(spark, sf):
+    def steps(counts, table):
+        tables.append(counts, table)
+        tables.append(counts.select("month", "count", "eid"), table)
+
+    return _sink(spark, sf, steps)
+
+
+def appended_query(spark, sf):
+    def steps(counts, table):
+        tables.append(counts, table)
+        largest = f"SELECT eid, month, `count` + 1 AS `count` FROM {table} WHERE `count` > 1"
+        tables.append_query(spark, largest, table)
+
+    return _sink(spark, sf, steps)
+
+
+def months_replaced(spark, sf):
+    """Twice the same months, one of which has no new rows."""
+
+    def steps(counts, table):
+        tables.replace_months(counts, table, [], "month")
+        listed = [r["date"] for r in _listed(spark, sf).distinct().collect()]  # at most a few months
+        fewer = months.in_months(counts, _listed(spark, sf), "month").where(F.col("month") < F.lit(max(listed)))
+        for _ in range(2):
+            tables.replace_months(fewer.withColumn("count", F.col("count") * 10), table, listed, "month")
+
+    return _sink(spark, sf, steps)
+
+
+def dropped(spark, sf):
+    """A table that is dropped twice and made anew has only the new rows."""
+
+    def steps(counts, table):
+        tables.append(counts, table)
+        tables.drop_tables(spark, table, table)
+        tables.append(counts.where("`count` > 1"), table)
+
+    return _sink(spark, sf, steps)
+
+
+def queried(spark, sf):
+    counts = _order_counts(spark, sf)
+    counts.createOrReplaceTempView("turnstile_counts")
+    return tables.query(spark, "SELECT month, sum(`count`) AS n FROM turnstile_counts GROUP BY month")
+
+
 def distinct_values(spark, sf):
     return dedup.distinct_values(view.badges(spark, sf), "eid")
 
@@ -379,6 +473,17 @@ QUERIES: dict[str, Query] = {
         processing_months_weekly,
         processing_months_empty,
         processing_months_monthly,
+        processing_months_listed,
+        text_timestamps,
+        complement_split,
+        unknown_directions,
+        rejected_rows,
+        overwritten,
+        appended,
+        appended_query,
+        months_replaced,
+        dropped,
+        queried,
         distinct_values,
         monthly_eid_daily,
         monthly_peak_util,

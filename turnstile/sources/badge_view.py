@@ -31,14 +31,48 @@ def badges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("messagetype"),
         (site * 3 + event % 3).alias("rank"),
         F.to_date(F.trunc("ts", "MM")).alias("month"),
-        (F.floor(event / 100) + 1).cast("bigint").alias("index_value"),
+        F.expr("event_id div 100 + 1").alias("index_value"),
         (user % VIEW_GROUPS + 1).alias("view_group"),
     )
 
 
+def raw_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without group, some rows with a null or zero index value."""
+    index = F.col("index_value")
+    return badges(spark, sf_dir).drop("view_group").withColumn(
+        "index_value", F.when(index % 11 != 0, F.when(index % 13 == 0, F.lit(0)).otherwise(index))
+    )
+
+
+def flawed_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grouped badges of which some lack a time, have a foreign direction, or are null throughout."""
+    rows = grouped_badges(spark, sf_dir)
+    second = F.second("localtimestamp")
+    marked = rows.withColumns({"second": second, "empty": (F.col("index_value") % 17 == 0) & (second % 5 == 0)})
+    changed = {
+        "direction": F.when(F.col("second") % 9 == 0, F.lit("Fo o")).otherwise(F.col("direction")),
+        "localtimestamp": F.when(F.col("second") % 10 != 3, F.col("localtimestamp")),
+    }
+    return marked.select(*(F.when(~F.col("empty"), changed.get(c, F.col(c))).alias(c) for c in rows.columns))
+
+
+def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as text, in several forms that do not read as a timestamp."""
+    event, ts = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id",
+        F.when(event % 7 == 0, F.replace(ts, F.lit(" "), F.lit("T")))
+        .when(event % 11 == 0, F.concat(ts, F.lit(".5")))
+        .when(event % 13 == 0, F.lit("2024-13-01 10:00:00"))
+        .when(event % 17 == 0, F.lit(""))
+        .when(event % 19 != 0, ts)
+        .alias("text"),
+    )
+
+
 def doors(spark: SparkSession) -> DataFrame:
     rank = F.col("id")
-    site = F.lpad(F.floor(rank / 3).cast("string"), 2, "0")
+    site = F.lpad(F.expr("id div 3").cast("string"), 2, "0")
     name = F.concat(F.lit("Site "), site, F.lit(" Floor "), rank % 3)
     return spark.range(DOORS).select(rank.alias("rank"), name.alias("Door"))
 

@@ -70,17 +70,22 @@ def replace_months(
     column: str = "Month",
     compact: bool = True,
 ) -> None:
-    """Replace the listed months of a month-partitioned table; running it twice changes nothing."""
+    """Replace the listed months of a month-partitioned table; running it twice changes nothing.
+
+    The new rows are computed into a table of their own first, so a failure leaves the old ones. They then replace
+    their months, and listed months without new rows are emptied.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         overwrite(df, table, column, compact=compact)
         return
-    drop_months(spark, table, months, column)
-    ordered = df.select(*spark.table(table).columns)
-    if compact:
-        ordered = balanced(ordered, column)
+    staged = f"{table}_staged"
+    overwrite(df.select(*spark.table(table).columns), staged, column, compact=compact)
     with _dynamic_overwrite(spark):
-        ordered.write.insertInto(table, overwrite=True)
+        spark.table(staged).select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    written = set(table_months(spark, staged))
+    drop_months(spark, table, [m for m in months if m not in written], column)
+    drop_tables(spark, staged)
 
 
 def drop_months(
