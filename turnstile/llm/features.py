@@ -11,9 +11,14 @@ from turnstile.llm import hashing
 from turnstile.llm.common import fold, keyed_text, text_bytes
 
 WIDTH = 1 << 16  # hashed places of each kind of feature
-KINDS = 3  # words, pairs of neighbouring words, runs of three bytes
+KINDS = 4  # words, pairs of neighbouring words, runs of three bytes, runs of three classes of bytes
 SIZE = WIDTH * KINDS
 SCALE = 8.0
+# Classes of bytes: small and other letters, capitals, digits; signs and white space stand for themselves.
+_CLASS = np.arange(256, dtype=np.uint32)
+_CLASS[ord("a") : ord("z") + 1] = _CLASS[0x80:] = ord("a")
+_CLASS[ord("A") : ord("Z") + 1] = ord("A")
+_CLASS[ord("0") : ord("9") + 1] = ord("0")
 
 
 def _kinds(texts: list[bytes]):
@@ -25,16 +30,17 @@ def _kinds(texts: list[bytes]):
     pair[words[1:] == words[:-1]] = 0
     yield pair[hashing.run_starts(counts, 2)[: len(pair)]] + WIDTH, np.maximum(counts - 1, 0)
     sizes = np.array([len(t) for t in texts])
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint32)
-    three = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
-    three = (three * np.uint32(2654435761)) >> np.uint32(16)
-    inside = np.ones(len(three), bool)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    inside = np.ones(max(len(data) - 2, 0), bool)
     ends = np.cumsum(sizes)
     for back in (1, 2):  # runs must not cross into the next text
         at = ends - back
-        inside[at[(at >= 0) & (at < len(three))]] = False
-    short = np.minimum(sizes, 2)  # texts of under three bytes have none
-    yield three[inside].astype(np.int32) + 2 * WIDTH, sizes - short
+        inside[at[(at >= 0) & (at < len(inside))]] = False
+    counts = sizes - np.minimum(sizes, 2)  # texts of under three bytes have none
+    for kind, values in ((2, data.astype(np.uint32)), (3, _CLASS[data])):
+        three = (values[:-2] << np.uint32(16)) | (values[1:-1] << np.uint32(8)) | values[2:]
+        three = (three * np.uint32(2654435761)) >> np.uint32(16)
+        yield three[inside].astype(np.int32) + kind * WIDTH, counts
 
 
 def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -145,14 +151,17 @@ def collect_sample(docs: DataFrame, chosen: DataFrame) -> Sparse:
     return Sparse(found.toArrow())
 
 
-def descend(sample: Sparse | _Subset, gradient, rounds: int, batch: int, rate: float, decay: float, seed: int = 5):
-    """Weights and bias by Adam. gradient(scores, labels) gives the derivative of the loss by each score."""
+def descend(sample: Sparse | _Subset, gradient, steps: int, batch: int, rate: float, decay: float, seed: int = 5):
+    """Weights and bias after about as many steps of Adam, whatever the size of the sample.
+
+    gradient(scores, labels) gives the derivative of the loss by each score.
+    """
     weights, bias = np.zeros(SIZE + 1), 0.0  # the bias is the last weight
     mean, square, step = np.zeros(SIZE + 1), np.zeros(SIZE + 1), 0
     rng = np.random.default_rng(seed)
     classes = [np.flatnonzero(sample.labels == c) for c in np.unique(sample.labels)]
-    for _ in range(rounds):
-        n = max(1, -(-len(sample.labels) // batch))
+    n = max(1, -(-len(sample.labels) // batch))
+    for _ in range(-(-steps // n)):
         # Every batch has its share of each class.
         mixed = [np.array_split(rng.permutation(c), n) for c in classes]
         for rows in (np.concatenate(parts) for parts in zip(*mixed, strict=True)):

@@ -77,12 +77,12 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
 
     # Positives against unlabelled on one half, the prior from its scores on the other half.
     scorer = features.subset(sample, half)
-    weights, bias = features.descend(scorer, plain, rounds=12, batch=512, rate=0.02, decay=1e-6)
+    weights, bias = features.descend(scorer, plain, steps=90, batch=512, rate=0.02, decay=1e-6)
     other = np.flatnonzero(~half)
     scores, kind = features.sample_scores(sample, other, weights, bias), sample.labels[other]
     prior = estimate_prior(scores[kind == 1], scores[kind == 0])
     weights, bias = features.descend(
-        sample, nn_pu_gradient(prior), rounds=30, batch=512, rate=0.05, decay=1e-6
+        sample, nn_pu_gradient(prior), steps=420, batch=512, rate=0.05, decay=1e-4
     )
     return weights, bias, prior
 

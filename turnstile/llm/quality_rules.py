@@ -72,7 +72,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
 
     aside = np.arange(len(sample.labels)) % 5 == 0
     fitted = features.subset(sample, ~aside)
-    weights, bias = features.descend(fitted, gradient, rounds=20, batch=512, rate=0.02, decay=1e-6)
+    weights, bias = features.descend(fitted, gradient, steps=220, batch=512, rate=0.02, decay=1e-6)
     rows = np.flatnonzero(aside)
     slope, offset = _platt(
         features.sample_scores(sample, rows, weights, bias), sample.labels[rows], weight[sample.labels[rows]]
