@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
 from turnstile.llm.common import by_size
 
+# A run of spaces and line ends, and what follows up to the next one, or only letters if these signs follow them.
+_STRETCH = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:*$%&#|])|[ \n]*[^ \n]+|[ \n]+")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_REMEMBERED = 400_000  # stretches kept by a task; then it starts anew
+
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
@@ -23,9 +31,68 @@ def vocabulary_size(path: str) -> int:
     return _tokenizer(path).get_vocab_size()
 
 
+@functools.lru_cache(maxsize=2)
+def _special_strings(path: str) -> tuple[str, ...] | None:
+    """Strings with ids of their own, if the tokenizer works stretch by stretch; else None.
+
+    Byte-level tokenizers of the usual pattern begin a new word at every white space that follows something else, and
+    between a letter and a sign other than an apostrophe.
+    """
+    form = json.loads(_tokenizer(path).to_str())
+    words = form.get("pre_tokenizer") or {}
+    usual = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space")
+    plain = form.get("normalizer") is None and not form["model"].get("dropout")
+    return tuple(t["content"] for t in form["added_tokens"]) if usual and plain else None
+
+
+class _Memory:
+    """Ids of stretches met before. Many stretches of a corpus are the same, and splitting them is the costly part."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.places) > _REMEMBERED:
+            self.clear()
+        places, known = self.places, len(self.places)
+        found = [[places.setdefault(s, len(places)) for s in _STRETCH.findall(t)] for t in texts]
+        fresh = list(places)[known:] if known else list(places)
+        for a in range(0, len(fresh), 8192):
+            for encoded in self.tokenizer.encode_batch_fast(fresh[a : a + 8192], add_special_tokens=False):
+                self.flat.extend(encoded.ids)
+                self.ends.append(len(self.flat))
+        flat, ends = np.array(self.flat, np.uint32), np.array(self.ends, np.int64)
+        out = []
+        for at in found:
+            at = np.array(at, np.int64)
+            starts, sizes = ends[at], ends[at + 1] - ends[at]
+            before = np.cumsum(sizes) - sizes
+            out.append(flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))])
+        return out
+
+
+@functools.lru_cache(maxsize=1)
+def _memory(path: str) -> _Memory:
+    return _Memory(path)
+
+
 def encode(texts: list[str], path: str, end_id: int) -> Iterator[np.ndarray]:
-    """Ids of each whole text and an end id. A megabyte of text at a time, since encodings take much memory."""
-    tokenizer = _tokenizer(path)
-    for a, b in by_size(texts, 1 << 20):
-        for encoded in tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False):
-            yield np.array([*encoded.ids, end_id], np.uint32)
+    """Ids of each whole text and an end id.
+
+    Where the tokenizer allows it, each different stretch of text is encoded once and its ids are used again, with the
+    same result as for the whole text. Texts with other white space or with special strings are encoded whole.
+    """
+    tokenizer, special = _tokenizer(path), _special_strings(path)
+    end = np.array([end_id], np.uint32)
+    for a, b in by_size(texts, 1 << 22):
+        part = texts[a:b]
+        whole = [special is None or bool(_OTHER_SPACE.search(t)) or any(s in t for s in special) for t in part]
+        split = iter(_memory(path).encode([t for t, w in zip(part, whole, strict=True) if not w]) if special is not None else ())
+        for text, w in zip(part, whole, strict=True):
+            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32) if w else next(split)
+            yield np.concatenate([ids, end])
