@@ -96,7 +96,7 @@ def _votes(kind: str, base: Column, match: Column, before: Column) -> list[Colum
     plain = {
         "email": F.rlike(match, F.lit(r"^[A-Za-z0-9].*[A-Za-z]")),
         "ip": ~F.rlike(match, F.lit(r"(?:^|\.)0[0-9]")),
-        "card": ~F.rlike(digits, F.lit(r"^([0-9])\1+$")),
+        "card": base & ~F.rlike(digits, F.lit(r"^([0-9])\1+$")),  # a wrong check digit speaks twice against a card
         "phone": ~F.rlike(digits, F.lit(r"^([0-9])\1+$")),
     }[kind]
     sign = lambda c: F.when(c, 1).otherwise(-1)
