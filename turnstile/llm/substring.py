@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm import hashing
-from turnstile.llm.common import keyed_text, text_bytes
+from turnstile.llm.common import keyed_text, stash, text_bytes
 
 # {0, 1, 3} is a perfect difference cover modulo 7: every difference modulo 7 is one between two of its members.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -121,7 +121,11 @@ def remove_repeated(
         _pack, "block int, doc_id long, packed binary"
     )
     digests = texts.where("doc_id is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # As a table of its own, so that the join can split a text that very many documents share.
+    first = stash(
+        digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last").drop("last")
+    )
     copies = (
         digests.join(first, "digest").where("doc_id > first")
         .select(block_of("doc_id").alias("block"), F.col("doc_id").alias("copy"))
