@@ -15,7 +15,9 @@ from turnstile.llm.common import by_size
 
 # A run of spaces and line ends, and what follows up to the next one, or only letters if these signs follow them.
 _STRETCH = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:*$%&#|])|[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# White space of any kind but these two, ASCII first.
+_ASCII_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f"
+_WIDE_SPACE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _REMEMBERED = 400_000  # stretches kept by a task; then it starts anew
 
 
@@ -76,6 +78,10 @@ class _Memory:
         return out
 
 
+def _other_space(text: str) -> bool:
+    return any(c in text for c in _ASCII_SPACE) or (not text.isascii() and any(c in text for c in _WIDE_SPACE))
+
+
 @functools.lru_cache(maxsize=1)
 def _memory(path: str) -> _Memory:
     return _Memory(path)
@@ -91,7 +97,7 @@ def encode(texts: list[str], path: str, end_id: int) -> Iterator[np.ndarray]:
     end = np.array([end_id], np.uint32)
     for a, b in by_size(texts, 1 << 22):
         part = texts[a:b]
-        whole = [special is None or bool(_OTHER_SPACE.search(t)) or any(s in t for s in special) for t in part]
+        whole = [special is None or _other_space(t) or any(s in t for s in special) for t in part]
         split = iter(_memory(path).encode([t for t, w in zip(part, whole, strict=True) if not w]) if special is not None else ())
         for text, w in zip(part, whole, strict=True):
             ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32) if w else next(split)
