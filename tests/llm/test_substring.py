@@ -56,6 +56,15 @@ def test_awkward_rows(docs_of):
         substring.remove_repeated(docs_of([]), 6)
 
 
+@pytest.mark.parametrize("per_block", [1, 1000])
+def test_copy_and_other_text_under_one_id(docs_of, per_block):
+    x, y = (" ".join(f"{c}{k}" for k in range(15)) for c in "xy")
+    rows = [(3, x), (7, x), (7, y), (9, "before " + y + " after")]
+    found = got(substring.remove_repeated(docs_of(rows), 13, docs_per_block=per_block))
+    assert found == brute(rows, 13)
+    assert [(r[0], r[2]) for r in found] == [(3, 0), (7, 0), (7, 15), (9, 15)]
+
+
 def test_cover_has_every_difference():
     members = substring.COVER
     assert {(a - b) % substring.PERIOD for a in members for b in members} == set(range(substring.PERIOD))

@@ -126,19 +126,24 @@ def remove_repeated(
         digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last").drop("last")
     )
+    # By id and text: other rows may have the id of a copy and a text of their own.
     copies = (
         digests.join(first, "digest").where("doc_id > first")
-        .select(block_of("doc_id").alias("block"), F.col("doc_id").alias("copy"))
+        .select(block_of("doc_id").alias("block"), F.col("doc_id").alias("copy"), "digest")
     )
 
     def originals(table: pa.Table, others: pa.Table):
-        """Texts, ids and which rows take part in the search: not those without id, not later exact copies."""
+        """Texts, ids, which rows take part in the search (with an id, no later exact copies), and which are copies."""
         texts, ids, known = _read(table)
-        copy = others.column("copy").drop_null().to_numpy()
-        return texts, ids, known & ~np.isin(ids, copy)
+        listed = others.column("copy").drop_null(), others.column("digest").drop_null()
+        pairs = set(zip(*(x.to_pylist() for x in listed), strict=True))
+        copy = known & np.isin(ids, listed[0].to_numpy())
+        for k in np.flatnonzero(copy):
+            copy[k] = (int(ids[k]), hashlib.sha256(texts[k]).digest()) in pairs
+        return texts, ids, known & ~copy, copy
 
     def find_anchors(table: pa.Table, others: pa.Table) -> pa.Table:
-        texts, ids, known = originals(table, others)
+        texts, ids, known, _ = originals(table, others)
         hashes, owners = [], []
         for w in _words(texts):
             at, h = w.anchors(width)
@@ -151,7 +156,7 @@ def remove_repeated(
     def extend(table: pa.Table, others: pa.Table) -> pa.Table:
         wanted = np.sort(others.column("h").drop_null().to_numpy().view(np.uint64))
         first, second, owners = [], [], []
-        texts, ids, known = originals(table, others) if len(wanted) else ([], None, None)
+        texts, ids, known, _ = originals(table, others) if len(wanted) else ([], None, None, None)
         for w in _words(texts):
             at, h = w.anchors(width)
             at = at[_found(wanted, h) & known[w.row[at]]]
@@ -167,8 +172,7 @@ def remove_repeated(
         return _table(["a", "b", "lo", "more"], [a, b, lo, hi - lo])
 
     def remove(table: pa.Table, others: pa.Table) -> pa.Table:
-        texts, ids, known = originals(table, others)
-        copy = np.isin(ids, others.column("copy").drop_null().to_numpy()) & table.column("doc_id").is_valid().to_numpy()
+        texts, ids, known, copy = originals(table, others)
         a, b, lo = (others.column(c).drop_null().to_numpy() for c in ("a", "b", "lo"))
         order = np.lexsort((b, a))  # signed, as both sides are compared
         a, b, lo = a[order], b[order], lo[order]
