@@ -65,6 +65,17 @@ def test_copy_and_other_text_under_one_id(docs_of, per_block):
     assert [(r[0], r[2]) for r in found] == [(3, 0), (7, 0), (7, 15), (9, 15)]
 
 
+def test_rows_without_id_are_in_no_block(docs_of, monkeypatch):
+    def pack(batches, pack=substring._pack):
+        for batch in batches:
+            assert not batch.column("doc_id").null_count
+            yield from pack([batch])
+
+    monkeypatch.setattr(substring, "_pack", pack)
+    rows = [(None, "the  same text"), (None, "the  same text"), (None, None), (1, "a b"), (2, "c")]
+    assert got(substring.remove_repeated(docs_of(rows), 13)) == brute(rows, 13)
+
+
 def test_cover_has_every_difference():
     members = substring.COVER
     assert {(a - b) % substring.PERIOD for a in members for b in members} == set(range(substring.PERIOD))

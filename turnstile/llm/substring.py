@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm import hashing
-from turnstile.llm.common import keyed_text, stash, text_bytes
+from turnstile.llm.common import by_size, keyed_text, stash, text_bytes
 
 # {0, 1, 3} is a perfect difference cover modulo 7: every difference modulo 7 is one between two of its members.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -41,10 +41,10 @@ class _Words:
         return hashing.runs(self.words, window), second >> np.uint64(32)
 
 
-def _read(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Texts, ids and which rows have an id."""
-    ids, unpack = table.column("doc_id"), zstandard.ZstdDecompressor().decompress
-    return [unpack(x) for x in text_bytes(table, "packed")], ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy()
+def _read(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    """Texts and ids."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in text_bytes(table, "packed")], table.column("doc_id").to_numpy()
 
 
 def _pack(batches):
@@ -61,6 +61,25 @@ def _words(texts: list[bytes]):
         yield _Words(first, words, counts)
 
 
+def _untouched(batches):
+    """Result rows of texts that keep all their words."""
+    for batch in batches:
+        texts = text_bytes(batch)
+        for a, b in by_size(texts):
+            split = [t.split() for t in texts[a:b]]
+            kept = [b" ".join(words) for words in split]
+            yield _results(
+                batch.column("doc_id")[a:b], list(map(len, split)), [0] * (b - a), kept,
+                [hashlib.sha256(k).hexdigest() for k in kept],
+            ).to_batches()[0]
+
+
+def _results(ids, n: list[int], removed: list[int], kept: list[bytes], digests: list[str]) -> pa.Table:
+    kept = pa.array(kept, pa.binary()).cast(pa.string())
+    columns = [ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), kept, pa.array(digests, pa.string())]
+    return pa.table(columns, names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
+
+
 def _least_and_largest(keys: tuple[np.ndarray, ...], ids: np.ndarray):
     """Distinct keys with their smallest and largest id, ordered by the smallest (this compresses better)."""
     order = np.lexsort((ids, *reversed(keys)))
@@ -115,12 +134,13 @@ def remove_repeated(
     def block_of(doc_id: str) -> Column:
         return F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int")
 
-    place = F.when(F.col("doc_id").isNull(), block_of("text")).otherwise(block_of("doc_id"))
+    # Rows without an id are in no block: any number of them may have the same text.
+    searched = texts.where("doc_id is not null")
     # The texts are shuffled once, compressed, and read by all three passes.
-    dealt = texts.select(place.alias("block"), "doc_id", "text").mapInArrow(
+    dealt = searched.select(block_of("doc_id").alias("block"), "doc_id", "text").mapInArrow(
         _pack, "block int, doc_id long, packed binary"
     )
-    digests = texts.where("doc_id is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+    digests = searched.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
     # As a table of its own, so that the join can split a text that very many documents share.
     first = stash(
         digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -133,14 +153,14 @@ def remove_repeated(
     )
 
     def originals(table: pa.Table, others: pa.Table):
-        """Texts, ids, which rows take part in the search (with an id, no later exact copies), and which are copies."""
-        texts, ids, known = _read(table)
+        """Texts, ids, which rows take part in the search, and which do not as they are later exact copies."""
+        texts, ids = _read(table)
         listed = others.column("copy").drop_null(), others.column("digest").drop_null()
         pairs = set(zip(*(x.to_pylist() for x in listed), strict=True))
-        copy = known & np.isin(ids, listed[0].to_numpy())
+        copy = np.isin(ids, listed[0].to_numpy())
         for k in np.flatnonzero(copy):
             copy[k] = (int(ids[k]), hashlib.sha256(texts[k]).digest()) in pairs
-        return texts, ids, known & ~copy, copy
+        return texts, ids, ~copy, copy
 
     def find_anchors(table: pa.Table, others: pa.Table) -> pa.Table:
         texts, ids, known, _ = originals(table, others)
@@ -196,17 +216,7 @@ def remove_repeated(
                     words = [x for x, d in zip(words, drop.tolist(), strict=True) if not d]
                 kept = b" ".join(words)
                 out.append((int(n), int(drop.sum()), kept, hashlib.sha256(kept).hexdigest()))
-        n, removed, kept, digest = zip(*out, strict=True) if out else ((), (), (), ())
-        return pa.table(
-            [
-                table.column("doc_id"),
-                pa.array(n, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array(kept, pa.binary()).cast(pa.string()),
-                pa.array(digest, pa.string()),
-            ],
-            names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"],
-        )
+        return _results(table.column("doc_id"), *(zip(*out, strict=True) if out else ((), (), (), ())))
 
     def with_copies(found: DataFrame) -> DataFrame:
         return found.unionByName(copies, allowMissingColumns=True).groupBy("block")
@@ -226,9 +236,9 @@ def remove_repeated(
         .where("lo + more > first")
         .select(block_of("lo").alias("block"), "a", "b", F.col("first").alias("lo"))
     )
-    return by_block.cogroup(with_copies(repeated)).applyInArrow(
-        remove, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
-    )
+    schema = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
+    rest = texts.where("doc_id is null").mapInArrow(_untouched, schema)
+    return by_block.cogroup(with_copies(repeated)).applyInArrow(remove, schema).unionByName(rest)
 
 
 def _found(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
