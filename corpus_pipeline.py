@@ -10,18 +10,18 @@ from turnstile.llm.common import read, stash, tokenizer_file
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
-    return pu_quality.keep_good(docs, read(spark, sf_dir, "labels"), threshold=0.3)
+    """Rows that the classifier rejects go, also those without an id."""
+    return pu_quality.keep_good(docs, read(spark, sf_dir, "labels"), threshold=0.3, keep_null_ids=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
-    return simhash.keep_one(docs, shingle=3, max_bits=2)
+    """One row of each SimHash group stays, whatever the ids."""
+    return simhash.keep_one(docs, shingle=3, max_bits=2, keep_null_ids=False)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return decontamination.without_leaks(docs, read(spark, sf_dir, "benchmark"))
+    """Rows that hold a benchmark item go, also those without an id."""
+    return decontamination.without_leaks(docs, read(spark, sf_dir, "benchmark"), keep_null_ids=False)
 
 
 def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,27 @@ def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
 
+def test_stages_decide_by_row(docs_of, spark, monkeypatch):
+    from turnstile.llm import features, pu_quality
+
+    item = "one two three four five six seven eight"
+    monkeypatch.setattr(corpus_pipeline, "read", lambda *_: spark.createDataFrame([(1, item)], "item_id long, text string"))
+    left = lambda stage, rows: sorted(((r.doc_id, r.text) for r in stage(spark, docs_of(rows), "").collect()), key=str)
+    # One row of a group, though copies have the id of the kept row or none, and rows of other groups share ids.
+    rows = [(3, "a b c"), (1, "A b C"), (1, "a b c"), (None, "a b c"), (None, "a b c"), (3, "x y z w"), (None, "k l m"), (None, "k l m")]
+    assert [r for r in left(corpus_pipeline.near_duplicates, rows) if r[0] != 1] == [(3, "x y z w"), (None, "k l m")]
+    assert len(left(corpus_pipeline.near_duplicates, rows)) == 3
+    # A leak without an id goes, a clean row that shares the id of a leak stays.
+    rows = [(1, item), (1, "clean"), (None, "so " + item), (None, "clean too"), (2, None)]
+    assert left(corpus_pipeline.no_benchmark, rows) == [(1, "clean"), (2, None), (None, "clean too")]
+    # The same for texts that the classifier rejects.
+    weights = np.zeros(features.SIZE, np.float32)
+    weights[features.sparse_row(b"bad")[0][0]] = -1  # the word itself
+    monkeypatch.setattr(pu_quality, "train", lambda *_, **__: (weights, 0.0, 0.5))
+    rows = [(1, "bad"), (1, "quiet"), (None, "bad"), (None, "quiet"), (2, None)]
+    assert left(corpus_pipeline.good_quality, rows) == [(1, "quiet"), (2, None), (None, "quiet")]
+
+
 def test_pipeline(spark, tables):
     from turnstile.llm import decontamination, pii, pu_quality, simhash
     from turnstile.llm.common import stash

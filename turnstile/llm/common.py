@@ -41,6 +41,11 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number of each row in `_row`, written down: every later read finds the same numbers."""
+    return stash(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text, a null text as the empty one. Other columns play no part."""
     return docs.select(

@@ -87,6 +87,11 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     return weights, bias, prior
 
 
+def _scores(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray:
+    scores = [features.linear_scores(texts[a:b], weights, bias) for a, b in by_size(texts)]
+    return features.sigmoid(np.concatenate([np.zeros(0), *scores]))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds: int) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of docs.
 
@@ -100,10 +105,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch)
-            scores = [features.linear_scores(texts[a:b], *model.value) for a, b in by_size(texts)]
-            scores = features.sigmoid(np.concatenate([np.zeros(0), *scores]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+            scores = pa.array(_scores(text_bytes(batch), *model.value))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
     scored = keyed_text(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select(
@@ -114,8 +117,18 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds: int) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns. Rows without an id stay."""
-    rejected = score_quality(docs, labels, threshold, **bounds).where("predicted = 0")
-    rejected = rejected.select(F.col("doc_id").alias("_rejected")).where("_rejected is not null").distinct()
-    return docs.join(rejected, docs["doc_id"] == F.col("_rejected"), "left_anti")
+def keep_good(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, keep_null_ids: bool = True, **bounds: int
+) -> DataFrame:
+    """The rows whose text the classifier accepts, with all their columns; all rows without an id if wanted."""
+    weights, bias, _ = train(docs, labels, **bounds)
+    model = docs.sparkSession.sparkContext.broadcast((weights, bias))  # fixed size
+
+    def run(batches):
+        for batch in batches:
+            good = _scores([t or b"" for t in text_bytes(batch)], *model.value) >= threshold
+            if keep_null_ids:
+                good |= batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
