@@ -116,6 +116,14 @@ def test_sparse_rows_score_like_texts():
         assert score == pytest.approx(alone, abs=1e-6)
 
 
+def test_sample_has_one_row_an_id(docs_of, spark, monkeypatch):
+    collected = []
+    monkeypatch.setattr(features, "Sparse", lambda rows: collected.append(rows.num_rows))
+    chosen = spark.createDataFrame([(1, 1), (2, 0), (2, 1)], "doc_id long, label int")
+    features.collect_sample(docs_of([(1, "a b")] * 50 + [(2, "c"), (2, "b"), (3, "d")]), chosen)
+    assert collected == [3]
+
+
 def test_prior():
     rng = np.random.default_rng(2)
     positive = rng.normal(2, 1, 4000)

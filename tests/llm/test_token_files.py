@@ -39,6 +39,13 @@ def test_stretches_give_the_ids_of_whole_texts():
     ]
 
 
+def test_dictionary_sample_has_one_row_an_id(spark, docs_of, monkeypatch):
+    samples = []
+    monkeypatch.setattr(token_files, "train_dictionary", lambda s: samples.append(len(s)) or b"")
+    token_files.write_tokens(docs_of([(1, "a b")] * 30 + [(1, "c"), (2, "d"), (None, "e")]), shared_folder(spark), PATH)
+    assert samples == [2]
+
+
 @pytest.mark.parametrize("per_shard", [2, 1000])
 def test_round_trip(spark, docs_of, per_shard):
     folder = shared_folder(spark)

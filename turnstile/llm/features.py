@@ -90,13 +90,10 @@ def training_fold(doc_id) -> F.Column:
 
 
 class Sparse:
-    """Rows of a bounded training sample in compressed form, with their labels."""
+    """Rows of a bounded training sample in compressed form, with their labels; ordered by id and label."""
 
     def __init__(self, rows: pa.Table):
-        rows = rows.sort_by("doc_id")
-        # A repeated id counts once.
-        ids = rows.column("doc_id").to_numpy()
-        rows = rows.take(pa.array(np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1)))) if len(ids) else rows
+        rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])
         self.ids = rows.column("doc_id").to_numpy()
         self.labels = rows.column("label").to_numpy().astype(np.int64)
         places = [np.frombuffer(x.as_py(), np.int32) for x in rows.column("places")]
@@ -128,7 +125,10 @@ def subset(sample: Sparse, chosen: np.ndarray) -> _Subset:
 
 
 def collect_sample(docs: DataFrame, chosen: DataFrame) -> Sparse:
-    """Features of the documents with a chosen id. `chosen` (doc_id, label) must be bounded."""
+    """Features of the documents with a chosen id. `chosen` (doc_id, label) must be bounded and have no row twice.
+
+    Of rows with the same id the smallest text counts.
+    """
 
     def run(batches):
         for batch in batches:
@@ -145,7 +145,8 @@ def collect_sample(docs: DataFrame, chosen: DataFrame) -> Sparse:
 
     # The chosen ids are a bounded sample, so sending them to every task is safe.
     rows = keyed_text(docs).join(F.broadcast(chosen), "doc_id")
-    found = rows.select("doc_id", "label", "text").mapInArrow(
+    # One row for each, however often its id is repeated: this is what reaches the driver.
+    found = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).mapInArrow(
         run, "doc_id long, label int, places binary, vals binary"
     )
     return Sparse(found.toArrow())

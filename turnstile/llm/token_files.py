@@ -141,7 +141,7 @@ def write_tokens(
     The folder must be one that the driver and all executors reach. A shard is a range of ids, written by one task
     under a name of its own; the returned table names those of successful tasks, so a task that is lost or runs twice
     leaves at most a file that nothing refers to. The dictionary is trained on the ids of the TRAINING_DOCUMENTS rows
-    with the smallest hash of their id; it changes sizes only, never contents.
+    with the smallest hash of their id (the smallest text of each id); it changes sizes only, never contents.
 
     Null texts count as empty (the end id alone); null ids come first; repeated rows are written as often as they
     come. An empty table gives a dictionary and no shard.
@@ -157,7 +157,8 @@ def write_tokens(
 
     chosen = texts.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = chosen.limit(TRAINING_DOCUMENTS).distinct()
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text").orderBy("doc_id")
+    # One text an id, however often the id is repeated: their ids reach the driver.
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     dictionary = train_dictionary([r["ids"] for r in sample.mapInArrow(serialise, "ids binary").collect() if r["ids"]])
     files, path = open_folder(folder)
     files.create_dir(path, recursive=True)
