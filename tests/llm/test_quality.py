@@ -89,6 +89,16 @@ def test_positive_unlabelled(learned):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in found.items() if i is None or r.predicted}
 
 
+def test_positive_unlabelled_where_all_are_labelled(spark):
+    rows, _ = corpus(1500)
+    labels = spark.createDataFrame([(i, int(not bad(t))) for i, t in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = [(r.score, bad(dict(rows)[r.doc_id])) for r in pu_quality.score_quality(docs, labels).collect() if r.held_out]
+    good_scores, bad_scores = ([s for s, b in held if b == kind] for kind in (False, True))
+    assert np.mean([g > b for g in good_scores for b in bad_scores]) >= 0.97
+    assert np.mean(np.array(good_scores) >= 0.3) >= 0.98 and np.mean(np.array(bad_scores) < 0.3) >= 0.5
+
+
 def test_calibrated_rules(learned):
     rows, docs, labels = learned
     found = {r.doc_id: r for r in quality_rules.apply_rules(docs, labels).collect()}

@@ -51,25 +51,26 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED):
-    """(weights, bias, prior) from labelled positives and unlabelled documents of the training folds.
+    """(weights, bias, prior) from labelled positives and a sample of all documents of the training folds.
 
     At most `max_positive` and `max_unlabelled` rows are used, those with the smallest hash of their id.
-    Labels other than 1 are not used.
+    Labels other than 1 are not used: the sample is of all text, labelled or not.
     """
     known = features.trusted_labels(labels, "quality")
     positive = known.where((F.col("label") == 1) & features.training_fold(F.col("doc_id")))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull())
-    unlabelled = ids.where(features.training_fold(F.col("doc_id"))).join(known, "doc_id", "left_anti").distinct()
+    unlabelled = ids.where(features.training_fold(F.col("doc_id"))).distinct()
     chosen = features.sample_ids(positive, max_positive).unionByName(
         features.sample_ids(unlabelled, max_unlabelled).withColumn("label", F.lit(0))
     )
     sample = features.collect_sample(docs, chosen)
     has = [int((sample.labels == c).sum()) for c in (0, 1)]
     if not all(has):
-        # Without positives nothing is known; without unlabelled text nothing speaks against a document.
+        # Without positives nothing is known.
         return np.zeros(features.SIZE, np.float32), 0.0, 0.5
     share = has[1] / sum(has)
-    half = np.arange(len(sample.labels)) % 2 == 0
+    # Split by id: a positive may be in the sample of all text, too.
+    half = np.unique(sample.ids, return_inverse=True)[1] % 2 == 0
 
     def plain(scores, labels):
         weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
@@ -98,7 +99,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **
     The score sees the text alone. Null and empty texts get the score of a text without features. held_out is
     true where crc32 of the id as text is divisible by 5 (and false for null ids); such rows are never learned
     from, neither as positives nor as unlabelled text. Repeated rows give repeated result rows and count once
-    in training. Without positives or without unlabelled rows all scores are 0.5. Empty tables give empty results.
+    in training. Without positives all scores are 0.5. Empty tables give empty results.
     """
     weights, bias, _ = train(docs, labels, **bounds)
     model = docs.sparkSession.sparkContext.broadcast((weights, bias))  # fixed size
