@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import decontamination, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, token_files, url_rules
+from turnstile.llm import decontamination, fim, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, token_files, url_rules
 from turnstile.llm.common import read, tokenizer_file
 
 
@@ -109,5 +109,43 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL}
+def op13_fill_in_middle(spark, sf):
+    out = fim.fill_in_middle(read(spark, sf, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || CAST(doc_id AS VARCHAR)) AS hx FROM documents
+), t AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS toks,
+    CAST('0x' || substr(hx, 1, 8) AS UBIGINT) AS h1, CAST('0x' || substr(hx, 9, 8) AS UBIGINT) AS h2,
+    CAST('0x' || substr(hx, 17, 8) AS UBIGINT) AS h3, CAST('0x' || substr(hx, 25, 8) AS UBIGINT) AS h4
+  FROM d
+), c AS (
+  SELECT doc_id, text, toks, len(toks) AS n,
+    least(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) AS k1, greatest(h1 % (len(toks) + 1), h2 % (len(toks) + 1)) AS k2,
+    CASE WHEN doc_id IS NULL OR text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+), p AS (
+  SELECT *, array_to_string(toks[1:k1], '') AS prefix, array_to_string(toks[k1 + 1:k2], '') AS middle,
+    array_to_string(toks[k2 + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form = 'plain' THEN NULL ELSE length(prefix) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form = 'plain' THEN NULL ELSE length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules, op13_fill_in_middle)}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL, "op13_fill_in_middle": OP13_SQL}
