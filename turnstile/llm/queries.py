@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import decontamination, fim, lm_score, packing, pii, pu_quality, quality_rules, simhash, substring, token_files, url_rules
+from turnstile.llm import decontamination, fim, lm_score, packing, pii, pu_quality, quality_rules, secrets, simhash, substring, token_files, url_rules
 from turnstile.llm.common import read, tokenizer_file
 
 
@@ -109,6 +109,22 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
+def _listed(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op12_secret_scan(spark, sf):
+    found = secrets.find_secrets(read(spark, sf, "documents"))
+    counts = [_of_kind("base", k) for k in ("assign", "access", "hex")]
+    base, spans = F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")
+    return found.select("doc_id", *counts, base, spans, _of_kind("spans", "novel").alias("n_added"))
+
+
 def op13_fill_in_middle(spark, sf):
     out = fim.fill_in_middle(read(spark, sf, "documents"))
     return out.select(
@@ -147,5 +163,5 @@ FROM p
 """
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules, op13_fill_in_middle)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules, op12_secret_scan, op13_fill_in_middle)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL, "op13_fill_in_middle": OP13_SQL}
