@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstile.llm import decontamination, fim, lm_score, packing, pii, pu_quality, quality_rules, secrets, simhash, substring, token_files, url_rules
+from turnstile.llm import decontamination, fim, lm_score, merkle, packing, pii, pu_quality, quality_rules, secrets, simhash, substring, token_files, url_rules
 from turnstile.llm.common import read, tokenizer_file
 
 
@@ -109,6 +109,11 @@ def op10_quality_rules(spark, sf):
     return quality_rules.apply_rules(docs, labels)
 
 
+def op11_merkle_manifest(spark, sf):
+    found = merkle.manifest(read(spark, sf, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "lang", "pos")
+
+
 def _listed(spans):
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -163,5 +168,5 @@ FROM p
 """
 
 
-QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules, op12_secret_scan, op13_fill_in_middle)}
+QUERIES = {q.__name__: q for q in (op1_decontamination, op2_token_files, op3_lattice_score, op4_pu_quality, op5_best_fit_packing, op6_url_rules, op7_personal_data, op8_substring_dedup, op9_simhash_dedup, op10_quality_rules, op11_merkle_manifest, op12_secret_scan, op13_fill_in_middle)}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op6_url_rules": OP6_SQL, "op13_fill_in_middle": OP13_SQL}
