@@ -82,3 +82,48 @@ def test_no_row_python_no_cross_join(spark, name):
         assert bad not in text, bad
     if "FlatMapGroupsInPandas" in text:
         assert "balanced_groups" in name or "enrich" in name or "monthly" in name
+
+
+def scans(node):
+    """File scans of an executed plan, through adaptive stages."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return scans(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return scans(node.plan())
+    found = [node] if name == "FileSourceScanExec" else []
+    children = node.children()
+    for i in range(children.size()):
+        found += scans(children.apply(i))
+    return found
+
+
+@pytest.fixture(scope="module")
+def month_folders(spark, tmp_path_factory):
+    """Hourly rows of 24 months in a table partitioned by month, as the job writes peak_util."""
+    path = str(tmp_path_factory.mktemp("tables") / "hourly")
+    days = spark.range(24 * 3).select(F.add_months(F.lit(MONTH), (F.col("id") % 24).cast("int")).alias("Month"), "id")
+    rows = days.select(
+        F.lit("F1").alias("Facility"), "Month", F.lit(9).alias("Bin_time"), F.lit("day").alias("Time_group"),
+        F.col("Month").alias("Date"), F.lit(1).alias("eid_ex"), (F.col("id") % 5).alias("eid"),
+    )
+    rows.write.partitionBy("Month").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("listed", [1, 3])
+def test_rollups_read_only_listed_months(spark, month_folders, listed):
+    import datetime as dt
+
+    from turnstile.operators import rollup
+
+    wanted = [dt.date(MONTH.year + (MONTH.month - 1 + k) // 12, (MONTH.month - 1 + k) % 12 + 1, 1) for k in range(0, 2 * listed, 2)]
+    as_table = spark.createDataFrame([(m,) for m in wanted], "date date")
+    for months in (wanted, as_table):
+        df = rollup.peak_rollup(month_folders, months)
+        got = df.collect()
+        assert sorted({r["Month"] for r in got}) == wanted
+        found = scans(df._jdf.queryExecution().executedPlan())
+        assert len(found) == 1
+        assert found[0].metrics().get("numPartitions").get().value() == listed
+        assert "Join" not in tree(df)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from turnstile.functions import clock, text
 WEEKLY_LOOK_BACK_DAYS = 10
 KEPT_MONTHS = {"Weekly": 13, "Monthly": 12}
 
+# Longest month list that becomes literals of a filter; a longer one stays a broadcast semi join.
+MAX_LITERAL_MONTHS = 1_000
+
 
 def processing_months(
     badges: DataFrame,
@@ -51,6 +55,31 @@ def in_months(df: DataFrame, months: DataFrame, column: str = "Month") -> DataFr
     return df.join(_month_list(months, column), column, "left_semi")
 
 
+def month_literals(months: DataFrame | Iterable[dt.date]) -> list[dt.date] | None:
+    """Distinct non-null months of a date list or of the `date` column of a table; None beyond MAX_LITERAL_MONTHS."""
+    if isinstance(months, DataFrame):
+        rows = months.select("date").where(F.col("date").isNotNull()).distinct().limit(MAX_LITERAL_MONTHS + 1).collect()
+        values = {r[0] for r in rows}
+    else:
+        values = {m for m in months if m is not None}
+    return sorted(values) if len(values) <= MAX_LITERAL_MONTHS else None
+
+
+def in_listed_months(df: DataFrame, months: DataFrame | Iterable[dt.date], column: str = "Month") -> DataFrame:
+    """Rows of the listed months, reading only their partitions.
+
+    The list becomes a literal IN filter: on a table partitioned by the month column the planner keeps only the
+    listed folders, and on other Parquet input the filter is pushed to the reader. A list longer than
+    MAX_LITERAL_MONTHS (months a table holds are few by nature) falls back to the broadcast semi join.
+    """
+    values = month_literals(months)
+    if values is None:
+        if not isinstance(months, DataFrame):
+            months = df.sparkSession.createDataFrame([(m,) for m in sorted(set(months) - {None})], "date date")
+        return in_months(df, months, column)
+    return df.where(F.col(column).isin(values))
+
+
 def retain(df: DataFrame, months: DataFrame, frequency: str, column: str = "Month") -> DataFrame:
     """Rows that outlive a run over `months`.
 

@@ -108,10 +108,10 @@ def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables())
 def build_summaries(spark: SparkSession, frequency: str, names: Tables = Tables()) -> None:
     """Roll-ups over groups for the listed months; working tables are dropped afterwards."""
     dates = _dates(spark, names)
-    listed = _date_range(spark, dates)
+    # the months as literals: the detail tables are read in the listed month folders only
     summaries = {
-        names.data_quality_summary: rollup.quality_rollup(spark.table(names.data_quality), listed),
-        names.peak_util_summary: rollup.peak_rollup(spark.table(names.peak_util), listed),
+        names.data_quality_summary: rollup.quality_rollup(spark.table(names.data_quality), dates),
+        names.peak_util_summary: rollup.peak_rollup(spark.table(names.peak_util), dates),
     }
     for table, summary in summaries.items():
         expire_months(spark, table, dates, frequency)
