@@ -117,3 +117,53 @@ def test_rejected_rows_are_kept(spark, names):
     )
     jobs.run(raw, badge_view.doors(spark), "2024-01-01", "Weekly", capacity=1_000, names=names)
     assert {r.reason for r in spark.table(names.rejected).select("reason").distinct().collect()} == {"direction", "time"}
+
+
+def _versions(spark, table):
+    fs, path = tables._files(spark, f"{tables.table_location(spark, table)}/{tables.VERSIONS}")
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def test_months_switch_to_the_one_written_folder(spark, names):
+    m1, m2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    tables.replace_months(spark.createDataFrame([(1, m1), (2, m2)], "v int, Month date"), names.eid_daily, [m1, m2])
+    new = spark.createDataFrame([(10, m1), (11, m1), (20, m2), (30, dt.date(2024, 3, 1))], "v int, Month date")
+    tables.replace_months(new, names.eid_daily, [m1, m2])
+    [version] = _versions(spark, names.eid_daily)
+    # every written month reads from the folder the rows were written to: no second copy
+    for month in (m1, m2, dt.date(2024, 3, 1)):
+        assert f"/{tables.VERSIONS}/{version}/Month={month.isoformat()}" in tables.month_location(spark, names.eid_daily, month)
+    assert sorted(r.v for r in spark.table(names.eid_daily).collect()) == [10, 11, 20, 30]
+
+
+def test_failure_between_stage_and_switch(spark, names, monkeypatch):
+    m1, m2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    tables.replace_months(spark.createDataFrame([(1, m1), (2, m2)], "v int, Month date"), names.eid_daily, [m1, m2])
+    new = spark.createDataFrame([(10, m1), (20, m2)], "v int, Month date")
+    switch, calls = tables._switch, []
+
+    def fails_at(n):
+        def switch_or_fail(*args):
+            calls.append(args[3])
+            if len(calls) == n:
+                raise RuntimeError("lost driver")
+            switch(*args)
+
+        return switch_or_fail
+
+    monkeypatch.setattr(tables, "_switch", fails_at(1))
+    with pytest.raises(RuntimeError, match="lost driver"):
+        tables.replace_months(new, names.eid_daily, [m1, m2])
+    assert sorted(tuple(r) for r in spark.table(names.eid_daily).collect()) == [(1, m1), (2, m2)]
+    # stopped between two months: the first is wholly new, the second wholly old
+    calls.clear()
+    monkeypatch.setattr(tables, "_switch", fails_at(2))
+    with pytest.raises(RuntimeError, match="lost driver"):
+        tables.replace_months(new, names.eid_daily, [m1, m2])
+    assert sorted(tuple(r) for r in spark.table(names.eid_daily).collect()) == [(2, m2), (10, m1)]
+    # the run again finishes the job; versions no month uses are gone at the next replacement
+    monkeypatch.setattr(tables, "_switch", switch)
+    tables.replace_months(new, names.eid_daily, [m1, m2])
+    tables.replace_months(new, names.eid_daily, [m1, m2])
+    assert sorted(tuple(r) for r in spark.table(names.eid_daily).collect()) == [(10, m1), (20, m2)]
+    assert len(_versions(spark, names.eid_daily)) == 2

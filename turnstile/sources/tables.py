@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +51,7 @@ def balanced(df: DataFrame, *partitions: str) -> DataFrame:
     return df.hint("rebalance", *partitions)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Overwrite only the partitions that are written; `insertInto` takes this from the session."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+VERSIONS = "_versions"  # folder under a table's own folder; Spark's file listing skips names that start with _
 
 
 def replace_months(
@@ -72,20 +63,75 @@ def replace_months(
 ) -> None:
     """Replace the listed months of a month-partitioned table; running it twice changes nothing.
 
-    The new rows are computed into a table of their own first, so a failure leaves the old ones. They then replace
-    their months, and listed months without new rows are emptied.
+    The new rows are written once, partitioned by month, into a version folder of their own under the table's
+    folder; the table does not change while they are computed, so a failure leaves every old month. Each written
+    month then switches to its new folder by one catalog change (SET LOCATION, or ADD PARTITION for a new
+    month); a listed month without new rows is dropped. A reader therefore sees each month whole, old or new,
+    never half written. Version folders that no month uses any more are deleted at the next replacement, so a
+    reader that listed the old files still finds them. The month column must not be null.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         overwrite(df, table, column, compact=compact)
         return
-    staged = f"{table}_staged"
-    overwrite(df.select(*spark.table(table).columns), staged, column, compact=compact)
-    with _dynamic_overwrite(spark):
-        spark.table(staged).select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    written = set(table_months(spark, staged))
+    base = table_location(spark, table)
+    _remove_unused_versions(spark, table, base, column)
+    version = f"{base}/{VERSIONS}/{uuid.uuid4().hex}"
+    rows = df.select(*spark.table(table).columns)
+    (balanced(rows, column) if compact else rows).write.partitionBy(column).parquet(version)
+    written = _folder_months(spark, version, column)
+    present = set(table_months(spark, table, column))
+    for month in sorted(written):
+        _switch(spark, table, column, month, f"{version}/{column}={month.isoformat()}", month in present)
     drop_months(spark, table, [m for m in months if m not in written], column)
-    drop_tables(spark, staged)
+
+
+def _spec(column: str, month: dt.date) -> str:
+    return f"(`{column}` = DATE'{month.isoformat()}')"
+
+
+def _switch(spark: SparkSession, table: str, column: str, month: dt.date, folder: str, present: bool) -> None:
+    """Point one month at its new folder: a single change of the catalog."""
+    if present:
+        spark.sql(f"ALTER TABLE {table} PARTITION {_spec(column, month)} SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION {_spec(column, month)} LOCATION '{folder}'")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def month_location(spark: SparkSession, table: str, month: dt.date, column: str = "Month") -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION {_spec(column, month)}").where("col_name = 'Location'")
+    return rows.collect()[0]["data_type"].rstrip("/")
+
+
+def _files(spark: SparkSession, folder: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _folder_months(spark: SparkSession, folder: str, column: str) -> set[dt.date]:
+    """Months written under a folder, from its sub-folder names."""
+    fs, path = _files(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()] if fs.exists(path) else []
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    if "__HIVE_DEFAULT_PARTITION__" in values:
+        raise ValueError(f"rows without {column} cannot replace a month")
+    return {dt.date.fromisoformat(v) for v in values}
+
+
+def _remove_unused_versions(spark: SparkSession, table: str, base: str, column: str) -> None:
+    fs, path = _files(spark, f"{base}/{VERSIONS}")
+    if not fs.exists(path):
+        return
+    used = {month_location(spark, table, m, column).split(f"/{VERSIONS}/")[-1].split("/")[0] for m in table_months(spark, table, column)}
+    for status in fs.listStatus(path):
+        if status.getPath().getName() not in used:
+            fs.delete(status.getPath(), True)
 
 
 def drop_months(
@@ -98,7 +144,7 @@ def drop_months(
         )
 
 
-def table_months(spark: SparkSession, table: str) -> list[dt.date]:
+def table_months(spark: SparkSession, table: str, column: str = "Month") -> list[dt.date]:
     """Months of a table, from its partition list."""
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
     return sorted(dt.date.fromisoformat(r[0].split("=", 1)[1]) for r in rows)
