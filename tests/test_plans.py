@@ -127,3 +127,35 @@ def test_rollups_read_only_listed_months(spark, month_folders, listed):
         assert len(found) == 1
         assert found[0].metrics().get("numPartitions").get().value() == listed
         assert "Join" not in tree(df)
+
+
+def exchanges(node):
+    """Shuffle exchanges of an executed plan, through adaptive stages."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return exchanges(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return exchanges(node.plan())
+    found = [node] if name == "ShuffleExchangeExec" else []
+    children = node.children()
+    for i in range(children.size()):
+        found += exchanges(children.apply(i))
+    return found
+
+
+def test_hours_travel_as_day_masks(spark):
+    from turnstile.operators import occupancy
+    from turnstile.plans import queries as Q
+
+    computed = stays.day_spans(Q._cleaned(spark, SF))
+    spans = spark.createDataFrame(computed.collect(), computed.schema)  # a plain table: one exchange in the plan
+    masks = occupancy.day_masks(occupancy.round_hours(spans))
+    text = tree(masks)
+    assert "make_dt_interval" not in text and "hour_bins" not in text
+    person_days = len(masks.collect())
+    [shuffle] = exchanges(masks._jdf.queryExecution().executedPlan())
+    written = shuffle.metrics().get("shuffleRecordsWritten").get().value()
+    rounded = occupancy.round_hours(spans).where("hour_in IS NOT NULL")
+    span_days = rounded.select(F.explode(F.sequence(F.to_date("hour_in"), F.to_date("hour_out")))).count()
+    hours = occupancy.mask_hours(masks).count()  # what an explode by the hour would have shuffled
+    assert person_days <= written <= span_days < hours / 2

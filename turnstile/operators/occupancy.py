@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions import clock
@@ -40,30 +42,87 @@ def round_hours(spans: DataFrame) -> DataFrame:
     )
 
 
-def expand_hours(rounded: DataFrame) -> DataFrame:
-    """One row per person, facility and hour, with the flag of the row that takes precedence.
+HOURS = range(24)
+
+
+def _rank() -> Column:
+    """Precedence, start minute and flag in one number: the least one is the row that takes precedence.
 
-    Precedence, start minute and flag travel in one number, so that the first row
-    is found by a plain `min`: hash aggregation with map-side combine instead of
-    a window per person. Rows of one precedence start at least half an hour
-    apart, or all carry the flag, so minutes order them exactly.
+    Rows of one precedence start at least half an hour apart, or all carry the flag, so minutes order them exactly.
     """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     start = clock.signed_minutes(epoch, F.col("visit_start"))
-    rank = (F.col("precedence").cast("bigint") * F.lit(1 << 40) + start) * 2 + F.col("Tag_Final")
-    return (
-        rounded.where(F.col("hour_in").isNotNull())
-        .select(
-            *PERSON,
-            "Facility",
-            rank.alias("rank"),
-            F.explode(clock.hour_bins(F.col("hour_in"), F.col("hour_out"))).alias("bin"),
-        )
-        .groupBy(*PERSON, "Facility", "bin")
-        .agg(F.min("rank").alias("rank"))
-        .withColumn("Tag_Final", F.pmod(F.col("rank"), F.lit(2)).cast("int"))
-        .drop("rank")
+    return (F.col("precedence").cast("bigint") * F.lit(1 << 40) + start) * 2 + F.col("Tag_Final")
+
+
+def _bit(mask: Column, h: int) -> Column:
+    return mask.bitwiseAND(F.lit(1 << h)) != 0
+
+
+def _bits(flags: list[Column]) -> Column:
+    """An int whose bit h is flags[h]."""
+    return functools.reduce(lambda a, b: a.bitwiseOR(b), [F.when(f, F.lit(1 << h)).otherwise(0) for h, f in enumerate(flags)])
+
+
+def day_masks(rounded: DataFrame) -> DataFrame:
+    """One row per person, facility and day: bit h of `present` says the person is there in hour h, bit h of
+    `doubtful` gives the flag of the row that takes precedence in that hour.
+
+    A row covers the hours from hour_in to hour_out, both included, over as many days as they span (one or two
+    for the rows of `day_spans`). Each hour's winner is the least rank among the rows that cover it: 24 minimums,
+    which hash aggregation combines before the exchange, so at most one row per person-day of each task moves.
+    """
+    day_in, day_out = F.to_date("hour_in"), F.to_date("hour_out")
+    days = rounded.where(F.col("hour_in").isNotNull()).select(
+        *PERSON, "Facility", _rank().alias("rank"), "hour_in", "hour_out", F.explode(F.sequence(day_in, day_out)).alias("Date")
+    )
+    first = F.when(F.col("Date") == day_in, F.hour("hour_in")).otherwise(0)
+    last = F.when(F.col("Date") == day_out, F.hour("hour_out")).otherwise(23)
+    bounded = days.withColumns({"first": first, "last": last})
+    covered = F.expr("shiftleft(1, last + 1) - shiftleft(1, first)")
+    ranks = bounded.withColumn("mask", covered).groupBy(*PERSON, "Facility", "Date").agg(
+        *[F.min(F.when(_bit(F.col("mask"), h), F.col("rank"))).alias(f"r{h}") for h in HOURS]
+    )
+    return ranks.select(
+        *PERSON, "Facility", "Date",
+        _bits([F.col(f"r{h}").isNotNull() for h in HOURS]).alias("present"),
+        _bits([F.pmod(F.col(f"r{h}"), F.lit(2)) == 1 for h in HOURS]).alias("doubtful"),
+    )
+
+
+def _hour_of(date: Column, h: Column) -> Column:
+    return date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h)
+
+
+def mask_hours(masks: DataFrame) -> DataFrame:
+    """One row per person, facility and hour present, with the flag of the row that takes precedence."""
+    hours = masks.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")).where("present & shiftleft(1, h) != 0")
+    return hours.select(
+        *PERSON, "Facility", _hour_of(F.col("Date"), F.col("h")).alias("bin"),
+        F.expr("shiftright(doubtful, h) & 1").alias("Tag_Final"),
+    )
+
+
+def expand_hours(rounded: DataFrame) -> DataFrame:
+    """One row per person, facility and hour, with the flag of the row that takes precedence (from day masks)."""
+    return mask_hours(day_masks(rounded))
+
+
+def occupancy_from_masks(masks: DataFrame) -> DataFrame:
+    """hourly_occupancy from day masks: 24 conditional counts per facility and day, then one row an hour with people."""
+    present, doubtful = F.col("present"), F.col("doubtful")
+    counts = masks.groupBy("month", "Group", "Facility", "Date").agg(
+        *[F.count_if(_bit(present, h)).alias(f"e{h}") for h in HOURS],
+        *[F.count_if(_bit(present, h) & ~_bit(doubtful, h)).alias(f"s{h}") for h in HOURS],
     )
+    per_hour = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"e{h}").alias("eid"), F.col(f"s{h}").alias("sure")) for h in HOURS])
+    hours = counts.select("month", "Group", "Facility", "Date", F.inline(per_hour)).where(F.col("eid") > 0)
+    bin_ = _hour_of(F.col("Date"), F.col("h"))
+    return hours.select(
+        "Facility", "Date", clock.time_text(bin_).alias("Bin_time"), "Group", "eid",
+        clock.time_group(bin_).alias("Time_group"), F.nullif(F.col("sure"), F.lit(0)).alias("eid_ex"),
+        F.col("month").alias("Month"),
+    )
 
 
 def hourly_occupancy(person_hours: DataFrame) -> DataFrame:

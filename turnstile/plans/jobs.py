@@ -92,10 +92,10 @@ def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables())
     cleaned = spark.table(names.clean_swipes)
     rejected = quality.rejected(rows, cleaned).withColumnRenamed("month", "Month")
     spans = stays.day_spans(cleaned)
-    hours = occupancy.expand_hours(occupancy.round_hours(spans))
+    masks = occupancy.day_masks(occupancy.round_hours(spans))
     details = {
         names.eid_daily: occupancy.eid_daily(spans),
-        names.peak_util: occupancy.hourly_occupancy(hours),
+        names.peak_util: occupancy.occupancy_from_masks(masks),
         names.data_quality: quality.quality_profile(cleaned),
         names.rejected: rejected,
     }

@@ -52,7 +52,7 @@ def _spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hourly(spans: DataFrame) -> DataFrame:
-    return occupancy.hourly_occupancy(occupancy.expand_hours(occupancy.round_hours(spans)))
+    return occupancy.occupancy_from_masks(occupancy.day_masks(occupancy.round_hours(spans)))
 
 
 def _order_cleaned(spark: SparkSession, sf: str) -> DataFrame:
