@@ -159,3 +159,22 @@ def test_hours_travel_as_day_masks(spark):
     span_days = rounded.select(F.explode(F.sequence(F.to_date("hour_in"), F.to_date("hour_out")))).count()
     hours = occupancy.mask_hours(masks).count()  # what an explode by the hour would have shuffled
     assert person_days <= written <= span_days < hours / 2
+
+
+def test_bucketed_tables_spare_the_exchanges(spark):
+    from turnstile.operators import occupancy
+    from turnstile.plans import jobs
+    from turnstile.sources import tables
+
+    cleaned = sequence.clean_sequence(normalise.normalise_rows(badge_view.grouped_badges(spark, SF)))
+    tables.overwrite(cleaned, "plans_clean", "month", bucket_by=jobs.PERSON_BUCKETS, shuffle=False)
+    daily = occupancy.eid_daily(stays.day_spans(spark.table("plans_clean")))
+    assert not re.findall(r"\bExchange\b", tree(daily))
+    assert "Bucketed: true" in plan(daily)
+    # the cleaning leaves its rows dealt by bucket: one file per bucket and month
+    months = spark.table("plans_clean").select("month").distinct().count()
+    files = spark.table("plans_clean").inputFiles()
+    assert len(files) <= months * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the same rows as without buckets
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, occupancy.eid_daily(stays.day_spans(cleaned)).collect()))
+    tables.drop_tables(spark, "plans_clean")

@@ -130,11 +130,14 @@ def _with_neighbours(rows: DataFrame, window: WindowSpec) -> DataFrame:
 
 
 def clean_sequence(badges: DataFrame) -> DataFrame:
-    """Alternating in/out rows per person, with first/last flags and each row's partner."""
+    """Alternating in/out rows per person, with first/last flags and each row's partner.
+
+    Ordinary people are dealt by (Group, eid), a part of the person key: the fold and the windows need no
+    exchange after this one, and the rows leave dealt as a table bucketed by (Group, eid) stores them.
+    """
     flag = F.col("oversized") if "oversized" in badges.columns else F.lit(False)
     badges = badges.withColumn("oversized", F.coalesce(flag, F.lit(False)))
-    # The fold and the windows of ordinary people need no exchange after this one.
-    ordinary = fold_simultaneous(badges.where(~F.col("oversized")).repartition(*PERSON))
+    ordinary = fold_simultaneous(badges.where(~F.col("oversized")).repartition(*PERSON[1:]))
     window = Window.partitionBy(*PERSON).orderBy(*time_order())
     plain = _with_neighbours(drop_runs(ordinary, *PERSON), window)
     return plain.unionByName(_clean_oversized(badges.where("oversized"))).drop("oversized")

@@ -29,6 +29,10 @@ from turnstile.operators import (
 from turnstile.sources import tables as io
 
 
+# Cleaned swipes are bucketed by person within month folders (a bucket column cannot be a folder column).
+PERSON_BUCKETS = ("Group", "eid")
+
+
 @dataclass(frozen=True)
 class Tables:
     """Table names of a run."""
@@ -74,7 +78,8 @@ def group_badges(
     groups = grouping.balanced_groups(grouping.eid_month_counts(listed), capacity, hold)
     io.overwrite(groups, names.eid_groups, "month")
     grouped = enrich.enrich_badges(listed, spark.table(names.eid_groups), doors, capacity)
-    # Oversized people get their own folders, which the pass over them alone reads.
+    # Oversized people get their own folders, which the pass over them alone reads. No buckets here: the person
+    # key is the normalised eid, made when the rows are read.
     io.overwrite(grouped, names.grouped_badges, "month", "oversized", compact=True)
 
 
@@ -87,7 +92,8 @@ def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables())
     badges = spark.table(names.grouped_badges)
     rows = normalise.normalise_rows(badges)
     cleaned = sequence.clean_sequence(rows)
-    io.overwrite(cleaned, names.clean_swipes, "month")
+    # Ordinary people leave the cleaning dealt by bucket already; the detail tables read them without exchange.
+    io.overwrite(cleaned, names.clean_swipes, "month", bucket_by=PERSON_BUCKETS, shuffle=False)
 
     cleaned = spark.table(names.clean_swipes)
     rejected = quality.rejected(rows, cleaned).withColumnRenamed("month", "Month")

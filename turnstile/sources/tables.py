@@ -7,7 +7,7 @@ and replaced as a whole on write.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +27,31 @@ def has_month(df: DataFrame, month: dt.date) -> bool:
     return not df.where(F.col("month") == F.lit(month)).isEmpty()
 
 
-def overwrite(df: DataFrame, table: str, *partitions: str, compact: bool = False) -> None:
-    """Write a table anew; `compact` evens out files at the price of a shuffle."""
+def overwrite(
+    df: DataFrame,
+    table: str,
+    *partitions: str,
+    compact: bool = False,
+    bucket_by: Sequence[str] = (),
+    shuffle: bool = True,
+) -> None:
+    """Write a table anew; `compact` evens out files at the price of a shuffle.
+
+    `bucket_by`: store the rows hashed by these columns into as many buckets as the session has shuffle partitions,
+    so that later reads grouped or windowed by them (or by more columns) need no exchange. `shuffle` deals the rows
+    by bucket first (one file per bucket and folder); without it, rows that are already dealt that way are written
+    as they are.
+    """
+    writer = df
+    if bucket_by:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, *bucket_by) if shuffle else df
+        out = writer.write.mode("overwrite").format("parquet").partitionBy(*partitions).bucketBy(buckets, *bucket_by)
+        out.saveAsTable(table)
+        return
     if compact:
-        df = balanced(df, *partitions)
-    df.write.mode("overwrite").format("parquet").partitionBy(*partitions).saveAsTable(table)
+        writer = balanced(df, *partitions)
+    writer.write.mode("overwrite").format("parquet").partitionBy(*partitions).saveAsTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:
