@@ -167,3 +167,15 @@ def test_failure_between_stage_and_switch(spark, names, monkeypatch):
     tables.replace_months(new, names.eid_daily, [m1, m2])
     assert sorted(tuple(r) for r in spark.table(names.eid_daily).collect()) == [(10, m1), (20, m2)]
     assert len(_versions(spark, names.eid_daily)) == 2
+
+
+def test_append_batches_once(spark, names):
+    rows = spark.createDataFrame([("a", 1, "b1"), ("b", 2, "b1"), ("c", 3, None)], "k string, v int, batch_id string")
+    tables.append_batches(rows, names.clean_swipes)
+    tables.append_batches(rows, names.clean_swipes)
+    broken = rows.withColumn("batch_id", F.lit("b2")).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        tables.append_batches(broken, names.clean_swipes)
+    tables.append_batches(rows.withColumn("batch_id", F.lit("b2")).where("k = 'a'"), names.clean_swipes)
+    got = sorted(tuple(r) for r in spark.table(names.clean_swipes).collect())
+    assert got == [("a", 1, "b1"), ("a", 1, "b2"), ("b", 2, "b1"), ("c", 3, None), ("c", 3, None)]

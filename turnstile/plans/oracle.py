@@ -430,6 +430,10 @@ def oracle_sql() -> dict[str, str]:
         "appended_query": _orders(
             'SELECT * FROM order_counts UNION ALL SELECT eid, month, "count" + 1 FROM order_counts WHERE "count" > 1'
         ),
+        "appended_batches": _orders(
+            "SELECT *, 'b1' AS batch_id FROM order_counts UNION ALL "
+            """SELECT *, 'b2' AS batch_id FROM order_counts WHERE "count" > 1"""
+        ),
         "months_replaced": _orders(
             'SELECT eid, month, CASE WHEN month IN (SELECT date FROM listed) THEN "count" * 10 ELSE "count" END AS "count" '
             "FROM order_counts WHERE month NOT IN (SELECT max(date) FROM listed)"

@@ -379,6 +379,19 @@ def appended_query(spark, sf):
     return _sink(spark, sf, steps)
 
 
+def appended_batches(spark, sf):
+    """Batch b1 twice, then b2 of the busier rows: b1 is there once."""
+
+    def steps(counts, table):
+        first = counts.withColumn("batch_id", F.lit("b1"))
+        for _ in range(2):
+            tables.append_batches(first, table)
+        busy = counts.where(F.col("count") > 1).withColumn("batch_id", F.lit("b2"))
+        tables.append_batches(busy.unionByName(first), table)
+
+    return _sink(spark, sf, steps)
+
+
 def months_replaced(spark, sf):
     """Twice the same months, one of which has no new rows."""
 
@@ -481,6 +494,7 @@ QUERIES: dict[str, Query] = {
         overwritten,
         appended,
         appended_query,
+        appended_batches,
         months_replaced,
         dropped,
         queried,

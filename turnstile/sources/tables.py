@@ -62,6 +62,30 @@ def append(df: DataFrame, table: str) -> None:
         df.write.format("parquet").saveAsTable(table)
 
 
+BATCH_LEDGER_LIMIT = 10_000  # batch ids of one append that are broadcast to the anti join; more are joined
+
+
+def append_batches(df: DataFrame, table: str, column: str = "batch_id") -> None:
+    """Append rows whose batch is not yet in the table; repeating an append changes nothing.
+
+    The batch id travels with the rows, so the ledger is the table itself and is written in the same commit as
+    the rows: a failed append leaves no batch marked as done, a repeated one finds it and adds nothing. Only the
+    batch column of the table is read, for the ids this append brings. Rows without a batch id are always
+    appended. One writer a table at a time.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        incoming = df.select(column).where(F.col(column).isNotNull()).distinct()
+        known = [r[0] for r in incoming.limit(BATCH_LEDGER_LIMIT + 1).collect()]
+        done = spark.table(table).select(column)
+        if len(known) <= BATCH_LEDGER_LIMIT:
+            done = F.broadcast(done.where(F.col(column).isin(known)).distinct())
+        else:
+            done = done.join(incoming, column, "left_semi").distinct()
+        df = df.join(done, column, "left_anti")
+    append(df, table)
+
+
 def append_query(spark: SparkSession, sql: str, table: str) -> None:
     append(spark.sql(sql), table)
 
