@@ -178,3 +178,25 @@ def test_bucketed_tables_spare_the_exchanges(spark):
     # the same rows as without buckets
     assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, occupancy.eid_daily(stays.day_spans(cleaned)).collect()))
     tables.drop_tables(spark, "plans_clean")
+
+
+def test_group_ranges_skip_files_and_row_groups(spark):
+    from turnstile.operators import enrich
+    from turnstile.sources import tables
+
+    rows = badge_view.grouped_badges(spark, SF).withColumn("oversized", F.lit(False))
+    # a month of many files, as at scale: the small fixture would otherwise be merged into one file
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        tables.overwrite(rows, "plans_ranges", "month", "oversized", cluster_by=("Group", "eid"))
+    finally:
+        spark.conf.set(key, "true")
+    stored = spark.table("plans_ranges")
+    month_rows = stored.where(F.col("month") == MONTH).count()
+    df = enrich.month_range(stored, MONTH, "Group", 2, 3)
+    got = len(df.collect())
+    [scan] = scans(df._jdf.queryExecution().executedPlan())
+    read = scan.metrics().get("numOutputRows").get().value()
+    assert 0 < got <= read < month_rows
+    tables.drop_tables(spark, "plans_ranges")

@@ -78,9 +78,10 @@ def group_badges(
     groups = grouping.balanced_groups(grouping.eid_month_counts(listed), capacity, hold)
     io.overwrite(groups, names.eid_groups, "month")
     grouped = enrich.enrich_badges(listed, spark.table(names.eid_groups), doors, capacity)
-    # Oversized people get their own folders, which the pass over them alone reads. No buckets here: the person
-    # key is the normalised eid, made when the rows are read.
-    io.overwrite(grouped, names.grouped_badges, "month", "oversized", compact=True)
+    # Oversized people get their own folders, which the pass over them alone reads. Files hold ranges of groups,
+    # sorted, so that a range of groups skips the others. No buckets here: the person key is the normalised eid,
+    # made when the rows are read.
+    io.overwrite(grouped, names.grouped_badges, "month", "oversized", cluster_by=("Group", "eid"))
 
 
 def build_detail(spark: SparkSession, frequency: str, names: Tables = Tables()) -> None:

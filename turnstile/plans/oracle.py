@@ -297,6 +297,9 @@ def oracle_sql() -> dict[str, str]:
         "month_range_scan": _view(
             "SELECT * FROM grouped WHERE month = DATE '2024-01-01' AND \"Group\" >= 2 AND \"Group\" <= 3"
         ),
+        "month_range_stored": _view(
+            "SELECT * EXCLUDE (month), month FROM grouped WHERE month = DATE '2024-01-01' AND \"Group\" >= 2 AND \"Group\" <= 3"
+        ),
         "month_max_index": _orders("SELECT * FROM order_max"),
         "batch_bounds": _sql(
             "SELECT * FROM bounds", _ORDER_BADGES, _bounds("bounds", "order_max", "index_value")

@@ -104,6 +104,16 @@ def month_range_scan(spark, sf):
     )
 
 
+def month_range_stored(spark, sf):
+    """month_range_scan on grouped badges stored as the job stores them: files by range of Group."""
+
+    def steps(rows, table):
+        tables.overwrite(rows, table, "month", "oversized", cluster_by=("Group", "eid"))
+
+    stored = _sink(spark, sf, steps, view.grouped_badges(spark, sf).withColumn("oversized", F.lit(False)))
+    return enrich.month_range(stored.drop("oversized"), MONTH, "Group", 2, 3)
+
+
 def month_max_index(spark, sf):
     return grouping.month_max(view.order_badges(spark, sf), "index_value")
 
@@ -347,10 +357,10 @@ def rejected_rows(spark, sf):
     return quality.rejected(rows, sequence.clean_sequence(rows)).groupBy("month", "reason").agg(F.count("*").alias("n"))
 
 
-def _sink(spark, sf, steps) -> DataFrame:
-    """Run steps on a new table of the session catalog and read it back."""
+def _sink(spark, sf, steps, rows: DataFrame | None = None) -> DataFrame:
+    """Run steps on a new table of the session catalog and read it back (order counts unless rows are given)."""
     table = f"turnstile_sink_{uuid.uuid4().hex[:12]}"
-    steps(_order_counts(spark, sf), table)
+    steps(_order_counts(spark, sf) if rows is None else rows, table)
     return tables.read_table(spark, table)
 
 
@@ -443,6 +453,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         badge_rows,
         month_range_scan,
+        month_range_stored,
         month_max_index,
         batch_bounds,
         batch_ranges,

@@ -34,9 +34,13 @@ def overwrite(
     compact: bool = False,
     bucket_by: Sequence[str] = (),
     shuffle: bool = True,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Write a table anew; `compact` evens out files at the price of a shuffle.
 
+    `cluster_by`: deal the rows by range of the folder columns and these, and sort each file by them; every file
+    then covers a narrow range, and a filter on them skips whole files and row groups by their statistics.
+
     `bucket_by`: store the rows hashed by these columns into as many buckets as the session has shuffle partitions,
     so that later reads grouped or windowed by them (or by more columns) need no exchange. `shuffle` deals the rows
     by bucket first (one file per bucket and folder); without it, rows that are already dealt that way are written
@@ -49,7 +53,9 @@ def overwrite(
         out = writer.write.mode("overwrite").format("parquet").partitionBy(*partitions).bucketBy(buckets, *bucket_by)
         out.saveAsTable(table)
         return
-    if compact:
+    if cluster_by:
+        writer = df.repartitionByRange(*partitions, *cluster_by).sortWithinPartitions(*cluster_by)
+    elif compact:
         writer = balanced(df, *partitions)
     writer.write.mode("overwrite").format("parquet").partitionBy(*partitions).saveAsTable(table)
 
