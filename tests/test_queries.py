@@ -35,3 +35,11 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["overwritten", "appended", "appended_batches", "months_replaced", "dropped", "month_range_stored", "queried"])
+def test_sinks_leave_no_table(spark, name):
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = QUERIES[name](spark, SF).count()
+    assert rows > 0
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -24,6 +24,7 @@ from turnstile.operators import (
     stays,
 )
 from turnstile.sources import badge_view as view
+from turnstile.session import ensure_checkpoint_dir
 from turnstile.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,8 +111,8 @@ def month_range_stored(spark, sf):
     def steps(rows, table):
         tables.overwrite(rows, table, "month", "oversized", cluster_by=("Group", "eid"))
 
-    stored = _sink(spark, sf, steps, view.grouped_badges(spark, sf).withColumn("oversized", F.lit(False)))
-    return enrich.month_range(stored.drop("oversized"), MONTH, "Group", 2, 3)
+    rows = view.grouped_badges(spark, sf).withColumn("oversized", F.lit(False))
+    return _sink(spark, sf, steps, rows, lambda stored: enrich.month_range(stored.drop("oversized"), MONTH, "Group", 2, 3))
 
 
 def month_max_index(spark, sf):
@@ -357,11 +358,19 @@ def rejected_rows(spark, sf):
     return quality.rejected(rows, sequence.clean_sequence(rows)).groupBy("month", "reason").agg(F.count("*").alias("n"))
 
 
-def _sink(spark, sf, steps, rows: DataFrame | None = None) -> DataFrame:
-    """Run steps on a new table of the session catalog and read it back (order counts unless rows are given)."""
+def _sink(spark, sf, steps, rows: DataFrame | None = None, then=lambda df: df) -> DataFrame:
+    """Run steps on a new table of the session catalog (order counts unless rows are given), apply `then` to what
+    the table holds, and return that from a copy in the shared checkpoint folder; the table is dropped."""
     table = f"turnstile_sink_{uuid.uuid4().hex[:12]}"
-    steps(_order_counts(spark, sf) if rows is None else rows, table)
-    return tables.read_table(spark, table)
+    try:
+        steps(_order_counts(spark, sf) if rows is None else rows, table)
+        result = then(tables.read_table(spark, table))
+        ensure_checkpoint_dir(spark)
+        path = f"{spark.sparkContext.getCheckpointDir()}/sink-{uuid.uuid4().hex}"
+        result.write.parquet(path)
+    finally:
+        tables.drop_tables(spark, table)
+    return spark.read.schema(result.schema).parquet(path)
 
 
 def overwritten(spark, sf):
@@ -427,9 +436,13 @@ def dropped(spark, sf):
 
 
 def queried(spark, sf):
-    counts = _order_counts(spark, sf)
-    counts.createOrReplaceTempView("turnstile_counts")
-    return tables.query(spark, "SELECT month, sum(`count`) AS n FROM turnstile_counts GROUP BY month")
+    name = f"turnstile_counts_{uuid.uuid4().hex[:12]}"
+    _order_counts(spark, sf).createOrReplaceTempView(name)
+    try:
+        # the query is resolved when it is made, so the view can go at once
+        return tables.query(spark, f"SELECT month, sum(`count`) AS n FROM {name} GROUP BY month")
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def distinct_values(spark, sf):
