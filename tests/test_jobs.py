@@ -179,3 +179,27 @@ def test_append_batches_once(spark, names):
     tables.append_batches(rows.withColumn("batch_id", F.lit("b2")).where("k = 'a'"), names.clean_swipes)
     got = sorted(tuple(r) for r in spark.table(names.clean_swipes).collect())
     assert got == [("a", 1, "b1"), ("a", 1, "b2"), ("b", 2, "b1"), ("c", 3, None), ("c", 3, None)]
+
+
+def test_checked_rows_and_reasons(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("eid", T.StringType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("n", T.LongType())])
+    raw = spark.createDataFrame(
+        [("a", "2024-01-01 10:00:00", "3", "x"), (" ", "2024-01-01T10:00:00", "n/a", "y"), (None, "2024-13-01 10:00:00", None, "z"),
+         ("b", "", "4", None)],
+        "eid string, ts string, n string, extra string",
+    )
+    got = {r["eid"]: r for r in tables.checked(raw, schema, ("eid", "ts")).collect()}
+    assert got["a"]["reason"] is None and got["a"]["n"] == 3 and got["a"]["ts"] == dt.datetime(2024, 1, 1, 10)
+    assert got[" "]["reason"] == "missing eid,type n"
+    assert got[None]["reason"] == "missing eid,type ts"
+    assert got["b"]["reason"] == "missing ts"
+    assert tables.checked(raw, schema).columns == ["eid", "ts", "n", "reason"]
+
+
+def test_quarantine_counts(spark):
+    from turnstile.plans.queries import QUERIES
+
+    found = {r.reason: r.n for r in QUERIES["quarantine_counts"](spark, SF).collect()}
+    assert {"ok", "missing eid", "missing localtimestamp", "type localtimestamp", "type rank"} <= set(found)

@@ -428,6 +428,27 @@ def oracle_sql() -> dict[str, str]:
             "WHERE direction = 'Fo o' AND eid IS NOT NULL AND door IS NOT NULL",
             _BADGES, _VIEW_GROUPED, _FLAWED,
         ),
+        "quarantine_counts": """
+WITH texts AS (
+  SELECT CASE WHEN event_id % 97 <> 0 THEN 'USER ' || CAST(user_id AS VARCHAR) END AS eid,
+         CASE WHEN event_id % 7 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+              WHEN event_id % 13 = 0 THEN '2024-13-01 10:00:00'
+              WHEN event_id % 17 = 0 THEN ' '
+              WHEN event_id % 19 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "localtimestamp",
+         CASE WHEN event_id % 101 <> 0 THEN CASE WHEN event_id % 2 = 0 THEN 'In' ELSE ' OUT ' END END AS direction,
+         CASE WHEN event_id % 23 = 0 THEN 'n/a' ELSE CAST(event_id % 36 AS VARCHAR) END AS rank
+  FROM events
+), checked AS (
+  SELECT nullif(concat_ws(',',
+    CASE WHEN eid IS NULL OR trim(eid) = '' THEN 'missing eid' END,
+    CASE WHEN "localtimestamp" IS NULL OR trim("localtimestamp") = '' THEN 'missing localtimestamp' END,
+    CASE WHEN NOT ("localtimestamp" IS NULL OR trim("localtimestamp") = '')
+          AND TRY_CAST("localtimestamp" AS TIMESTAMP) IS NULL THEN 'type localtimestamp' END,
+    CASE WHEN direction IS NULL OR trim(direction) = '' THEN 'missing direction' END,
+    CASE WHEN TRY_CAST(rank AS BIGINT) IS NULL THEN 'type rank' END), '') AS reason
+  FROM texts
+)
+SELECT coalesce(reason, 'ok') AS reason, count(*) AS n FROM checked GROUP BY 1""",
         "overwritten": _orders("SELECT * FROM order_counts"),
         "appended": _orders("SELECT * FROM order_counts UNION ALL SELECT * FROM order_counts"),
         "appended_query": _orders(

@@ -23,8 +23,9 @@ from turnstile.operators import (
     sequence,
     stays,
 )
-from turnstile.sources import badge_view as view
+from turnstile.schemas import BADGES
 from turnstile.session import ensure_checkpoint_dir
+from turnstile.sources import badge_view as view
 from turnstile.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -435,6 +436,12 @@ def dropped(spark, sf):
     return _sink(spark, sf, steps)
 
 
+def quarantine_counts(spark, sf):
+    """Landing rows checked against the badge schema: typed rows as `ok`, the others by reason."""
+    rows = tables.checked(view.badge_texts(spark, sf), BADGES, ("eid", "localtimestamp", "direction"))
+    return rows.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 def queried(spark, sf):
     name = f"turnstile_counts_{uuid.uuid4().hex[:12]}"
     _order_counts(spark, sf).createOrReplaceTempView(name)
@@ -522,6 +529,7 @@ QUERIES: dict[str, Query] = {
         months_replaced,
         dropped,
         queried,
+        quarantine_counts,
         distinct_values,
         monthly_eid_daily,
         monthly_peak_util,

@@ -56,6 +56,26 @@ def flawed_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(*(F.when(~F.col("empty"), changed.get(c, F.col(c))).alias(c) for c in rows.columns))
 
 
+def badge_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Badges as they land in text files: every column text, some times in other forms, past the calendar or
+    blank, some ranks not numbers."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    event, user, ts = F.col("event_id"), F.col("user_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return events.select(
+        F.when(event % 97 != 0, F.concat(F.lit("USER "), user.cast("string"))).alias("eid"),
+        F.when(event % 7 == 0, F.replace(ts, F.lit(" "), F.lit("T")))
+        .when(event % 13 == 0, F.lit("2024-13-01 10:00:00"))
+        .when(event % 17 == 0, F.lit(" "))
+        .when(event % 19 != 0, ts)
+        .alias("localtimestamp"),
+        F.when(event % 101 != 0, F.when(event % 2 == 0, F.lit("In")).otherwise(F.lit(" OUT "))).alias("direction"),
+        F.col("event_type").alias("messagetype"),
+        F.when(event % 23 == 0, F.lit("n/a")).otherwise((event % 36).cast("string")).alias("rank"),
+        F.date_format(F.trunc("ts", "MM"), "yyyy-MM-dd").alias("month"),
+        event.cast("string").alias("index_value"),
+    )
+
+
 def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as text, in several forms that do not read as a timestamp."""
     event, ts = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")

@@ -12,12 +12,33 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.table(table)
 
 
+def checked(raw: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """Rows of a text source typed by `schema`, each with the reasons it fails, or a null `reason`.
+
+    A required column that is null or blank: `missing <column>`; a value that is not blank but does not cast to
+    its type: `type <column>`. Reasons of a row follow the schema's order, comma-joined. Nothing is dropped: the
+    caller keeps `reason IS NULL` and sends the rest to quarantine, from the same single read.
+    """
+    reasons, typed = [], []
+    for field in schema.fields:
+        text = F.col(field.name).cast("string")
+        blank = text.isNull() | (F.trim(text) == "")
+        value = text.try_cast(field.dataType) if field.dataType != T.StringType() else text
+        if field.name in required:
+            reasons.append(F.when(blank, F.lit(f"missing {field.name}")))
+        reasons.append(F.when(~blank & value.isNull(), F.lit(f"type {field.name}")))
+        typed.append(value.alias(field.name))
+    reason = F.nullif(F.concat_ws(",", *reasons), F.lit(""))
+    return raw.select(*typed, reason.alias("reason"))
+
+
 def query(spark: SparkSession, sql: str) -> DataFrame:
     return spark.sql(sql)
 
