@@ -140,3 +140,28 @@ def test_prior():
     mixed = np.concatenate([rng.normal(2, 1, 2800), rng.normal(-2, 1, 1200)])
     assert pu_quality.estimate_prior(positive, mixed) == pytest.approx(0.7, abs=0.06)
     assert pu_quality.estimate_prior(positive[:0], mixed) == 0.5
+
+
+def test_sparse_sample_reads_buffers_in_place():
+    import pyarrow as pa
+
+    from turnstile.llm.features import Sparse
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in rng.permutation(60):
+        n = int(rng.integers(0, 9))
+        rows.append((int(i) // 2, int(i) % 2, rng.integers(0, 1000, n).astype(np.int32), rng.random(n).astype(np.float32)))
+    table = pa.table({
+        "doc_id": [r[0] for r in rows], "label": pa.array([r[1] for r in rows], pa.int32()),
+        "places": pa.array([r[2].tobytes() for r in rows], pa.binary()), "vals": pa.array([r[3].tobytes() for r in rows], pa.binary()),
+    })
+    table = pa.concat_tables([table.slice(0, 25), table.slice(25)])  # two chunks, the second one sliced
+    sample = Sparse(table)
+    want = sorted(rows, key=lambda r: (r[0], r[1]))
+    assert sample.ids.tolist() == [r[0] for r in want] and sample.labels.tolist() == [r[1] for r in want]
+    chosen = np.array([5, 0, 59, 17])
+    places, values, counts = sample.part(chosen)
+    assert counts.tolist() == [len(want[k][2]) for k in chosen]
+    assert places.tolist() == np.concatenate([want[k][2] for k in chosen]).tolist()
+    assert values.tolist() == np.concatenate([want[k][3] for k in chosen]).tolist()

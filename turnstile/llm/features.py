@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,23 +90,38 @@ def training_fold(doc_id) -> F.Column:
     return fold(doc_id, 5) != 0
 
 
+def _flat(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values of a binary column as one array read in place from its buffer, and where each row starts and ends."""
+    array = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    if len(array) == 0:
+        return np.zeros(0, dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, offsets, data = array.buffers()
+    width = np.dtype(dtype).itemsize
+    kind = np.int64 if pa.types.is_large_binary(array.type) else np.int32
+    place = np.dtype(kind).itemsize
+    bounds = np.frombuffer(offsets, kind, len(array) + 1, array.offset * place).astype(np.int64) // width
+    return np.frombuffer(data, dtype, int(bounds[-1])), bounds[:-1], bounds[1:]
+
+
 class Sparse:
-    """Rows of a bounded training sample in compressed form, with their labels; ordered by id and label."""
+    """Rows of a bounded training sample in compressed form, with their labels; ordered by id and label.
+
+    The features are read in place from the collected Arrow buffers (one copy of the sample on the driver); the order
+    is a permutation of row starts.
+    """
 
     def __init__(self, rows: pa.Table):
-        rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])
-        self.ids = rows.column("doc_id").to_numpy()
-        self.labels = rows.column("label").to_numpy().astype(np.int64)
-        places = [np.frombuffer(x.as_py(), np.int32) for x in rows.column("places")]
-        values = [np.frombuffer(x.as_py(), np.float32) for x in rows.column("vals")]
-        self.ends = np.cumsum([0, *map(len, places)])
-        self.places = np.concatenate([np.zeros(0, np.int32), *places])
-        self.values = np.concatenate([np.zeros(0, np.float32), *values])
+        order = pc.sort_indices(rows, sort_keys=[("doc_id", "ascending"), ("label", "ascending")]).to_numpy()
+        self.ids = rows.column("doc_id").to_numpy()[order]
+        self.labels = rows.column("label").to_numpy().astype(np.int64)[order]
+        self.places, starts, ends = _flat(rows.column("places"), np.int32)
+        self.values, _, _ = _flat(rows.column("vals"), np.float32)
+        self.starts, self.counts = starts[order], (ends - starts)[order]
 
     def part(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, values and counts of some rows."""
-        counts = np.diff(self.ends)[rows]
-        at = np.repeat(self.ends[rows] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        counts = self.counts[rows]
+        at = np.repeat(self.starts[rows] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         return self.places[at], self.values[at], counts
 
 
