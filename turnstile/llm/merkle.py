@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from turnstile.llm.common import ascii_lower, stash
 
 FANOUT = 8
-BLOCK_LEVELS = 5  # a superblock: 32,768 nodes of one level
+BLOCK_LEVELS = 4  # a superblock: 4,096 nodes of one level
 BROADCAST_ROWS = 1_000_000  # small tables (groups, partitions) are broadcast up to this many rows, else joined
 
 UPPER = "grp string, pos long, proof string, lefts array<string>, rights array<string>, top string"
