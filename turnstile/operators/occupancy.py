@@ -109,20 +109,13 @@ def expand_hours(rounded: DataFrame) -> DataFrame:
 
 
 def occupancy_from_masks(masks: DataFrame) -> DataFrame:
-    """hourly_occupancy from day masks: 24 conditional counts per facility and day, then one row an hour with people."""
-    present, doubtful = F.col("present"), F.col("doubtful")
-    counts = masks.groupBy("month", "Group", "Facility", "Date").agg(
-        *[F.count_if(_bit(present, h)).alias(f"e{h}") for h in HOURS],
-        *[F.count_if(_bit(present, h) & ~_bit(doubtful, h)).alias(f"s{h}") for h in HOURS],
-    )
-    per_hour = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"e{h}").alias("eid"), F.col(f"s{h}").alias("sure")) for h in HOURS])
-    hours = counts.select("month", "Group", "Facility", "Date", F.inline(per_hour)).where(F.col("eid") > 0)
-    bin_ = _hour_of(F.col("Date"), F.col("h"))
-    return hours.select(
-        "Facility", "Date", clock.time_text(bin_).alias("Bin_time"), "Group", "eid",
-        clock.time_group(bin_).alias("Time_group"), F.nullif(F.col("sure"), F.lit(0)).alias("eid_ex"),
-        F.col("month").alias("Month"),
-    )
+    """hourly_occupancy from day masks.
+
+    The masks come out of the person-day exchange; their set bits are unpacked only there and counted per facility
+    and hour with map-side combine, so the second exchange carries at most one row per facility-hour of a task.
+    (24 conditional counts per facility-day give the same rows but measured some 20 % slower at sf0.1.)
+    """
+    return hourly_occupancy(mask_hours(masks))
 
 
 def hourly_occupancy(person_hours: DataFrame) -> DataFrame:
