@@ -116,3 +116,17 @@ def test_pipeline(spark, tables):
     assert {r.doc_id for r in pieces} == set(after)
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(np.frombuffer(r.ids, "<u4")) == r.length for r in pieces)
     assert sorted((r.doc_id, r.piece) for r in corpus_pipeline.run(spark, SF).collect()) == sorted((r.doc_id, r.piece) for r in pieces)
+
+
+def test_user_row_columns_survive_the_filters(spark):
+    from turnstile.llm import decontamination, simhash
+
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, words, "mine", 7), (2, words, "yours", 8), (3, "lambda mu nu xi omicron pi rho sigma tau upsilon", "theirs", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, __row int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+    items = spark.createDataFrame([(5, "lambda mu nu xi omicron pi rho sigma tau upsilon")], "item_id long, text string")
+    clean = decontamination.without_leaks(docs, items)
+    assert sorted(tuple(r) for r in clean.collect()) == rows[:2]

@@ -41,9 +41,17 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number of each row in `_row`, written down: every later read finds the same numbers."""
-    return stash(docs.withColumn("_row", F.monotonically_increasing_id()))
+def row_column(docs: DataFrame) -> str:
+    """A column name for row numbers that docs does not use: `_row`, with more leading underscores if taken."""
+    name = "_row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
+
+
+def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """docs with a number of each row in `name` (see row_column), written down: every later read finds the same numbers."""
+    return stash(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

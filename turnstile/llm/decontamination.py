@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import ascii_lower, keyed_text, numbered, stash
+from turnstile.llm.common import ascii_lower, keyed_text, numbered, row_column, stash
 
 BROADCAST_ROWS = 500_000  # sides up to this many rows (two numbers, or a number and a shingle) are broadcast
 
@@ -109,7 +109,8 @@ def find_leaks(
 
 def without_leaks(docs: DataFrame, items: DataFrame, keep_null_ids: bool = True, **limits) -> DataFrame:
     """The rows that hold no item, each searched for itself, with all their columns; all rows without an id if wanted."""
-    rows = numbered(docs)
+    row = row_column(docs)
+    rows = numbered(docs, row)
     searched = rows.where("doc_id is not null") if keep_null_ids else rows
-    leaking = find_leaks(searched, items, id_col="_row", **limits).select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(leaking, "_row", "left_anti").select(*docs.columns)
+    leaking = find_leaks(searched, items, id_col=row, **limits).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(leaking, row, "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import keyed_text, numbered, stash, text_bytes
+from turnstile.llm.common import keyed_text, numbered, row_column, stash, text_bytes
 from turnstile.llm.components import components
 
 BITS = 64
@@ -278,14 +278,15 @@ def simhash_groups(
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, keep_null_ids: bool = True) -> DataFrame:
     """Of each group one row with the smallest id (null last), with all its columns; all rows without an id if wanted."""
-    rows = numbered(docs)
-    groups = simhash_groups(rows, shingle, max_bits, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col("_row").alias("row"))
+    row = row_column(docs)
+    rows = numbered(docs, row)
+    groups = simhash_groups(rows, shingle, max_bits, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
     first = (
-        rows.select("doc_id", "_row").join(groups, "_row").groupBy("component_id").agg(F.min(order).alias("first"))
-        .select(F.col("first.row").alias("_row"))
+        rows.select("doc_id", row).join(groups, row).groupBy("component_id").agg(F.min(order).alias("first"))
+        .select(F.col("first.row").alias(row))
     )
     if not keep_null_ids:
-        return rows.join(first, "_row", "left_semi").select(*docs.columns)
-    kept = rows.where("doc_id is not null").join(first, "_row", "left_semi")
+        return rows.join(first, row, "left_semi").select(*docs.columns)
+    kept = rows.where("doc_id is not null").join(first, row, "left_semi")
     return kept.unionByName(rows.where("doc_id is null")).select(*docs.columns)
