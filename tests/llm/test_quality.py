@@ -165,3 +165,15 @@ def test_sparse_sample_reads_buffers_in_place():
     assert counts.tolist() == [len(want[k][2]) for k in chosen]
     assert places.tolist() == np.concatenate([want[k][2] for k in chosen]).tolist()
     assert values.tolist() == np.concatenate([want[k][3] for k in chosen]).tolist()
+
+
+def test_rules_fit_with_few_labelled_rows(docs_of, spark):
+    """Three rows of each class still give a model: calibration is cross-fitted, not skipped."""
+    good = "the committee met on tuesday and agreed on the plan for the new library building downtown"
+    ids = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 5 != 0][:6]
+    rows = [(i, good + f" item {i}") if k < 3 else (i, "$$$ buy now $$$ click ### free ### win $$$ now now now") for k, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, int(k < 3), 0) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    weights, bias, slope, offset = quality_rules.train(docs_of(rows), labels)
+    assert np.abs(weights).sum() > 0 and slope > 0
+    one_class = labels.where("quality = 1")
+    assert quality_rules.train(docs_of(rows), one_class)[2:] == (0.0, 40.0)

@@ -47,12 +47,17 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
+MIN_ASIDE = 5  # rows of each class from which a fifth of the sample is set aside for calibration
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
     """(weights, bias, slope, offset): a logistic regression and its calibration (Platt scaling).
 
     Learns from labels.quality of the training folds, at most `max_labelled` rows of each class, those with the
     smallest hash of their id, weighted to the shares that the classes have in all labelled rows. A fifth of the
-    sample is set aside for the calibration. With one class only, or none, every text has probability 1.
+    sample is set aside for the calibration; with fewer than MIN_ASIDE rows of a class the calibration is
+    cross-fitted instead (each half scored by a model of the other half, then one model of all rows). Without
+    rows of one of the classes nothing tells them apart: every text has probability 1.
     """
     known = features.trusted_labels(labels, "quality")
     known = known.where(features.training_fold(F.col("doc_id")) & F.col("label").isin(0, 1))
@@ -62,7 +67,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
     )
     sample = features.collect_sample(docs, chosen)
     found = [int((sample.labels == c).sum()) for c in (0, 1)]
-    if min(found) < 5:
+    if min(found) == 0:
         return np.zeros(features.SIZE, np.float32), 0.0, 0.0, 40.0
     weight = np.array([shares[c] / found[c] for c in (0, 1)])
     weight /= (weight * found).sum() / sum(found)
@@ -70,13 +75,22 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
     def gradient(scores, labels):
         return weight[labels] * (features.sigmoid(scores) - labels) / len(labels)
 
-    aside = np.arange(len(sample.labels)) % 5 == 0
-    fitted = features.subset(sample, ~aside)
-    weights, bias = features.descend(fitted, gradient, steps=220, batch=512, rate=0.02, decay=1e-6)
-    rows = np.flatnonzero(aside)
-    slope, offset = _platt(
-        features.sample_scores(sample, rows, weights, bias), sample.labels[rows], weight[sample.labels[rows]]
-    )
+    def fit(rows):
+        return features.descend(rows, gradient, steps=220, batch=512, rate=0.02, decay=1e-6)
+
+    n = len(sample.labels)
+    if min(found) >= MIN_ASIDE:
+        aside = np.arange(n) % 5 == 0
+        weights, bias = fit(features.subset(sample, ~aside))
+        rows = np.flatnonzero(aside)
+        scores = features.sample_scores(sample, rows, weights, bias)
+    else:
+        rows, scores = np.arange(n), np.zeros(n)
+        for part in (np.arange(n) % 2 == 0, np.arange(n) % 2 == 1):
+            other = fit(features.subset(sample, ~part))
+            scores[part] = features.sample_scores(sample, np.flatnonzero(part), *other)
+        weights, bias = fit(sample)
+    slope, offset = _platt(scores, sample.labels[rows], weight[sample.labels[rows]])
     return weights, bias, slope, offset
 
 
