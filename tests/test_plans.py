@@ -47,6 +47,22 @@ def test_shuffles_and_sorts_up_to_the_stays(enriched):
     assert "Join" not in text
 
 
+def test_cleaning_holds_no_table_of_a_tasks_rows(spark, enriched):
+    """Ordinary people: no hash table beside the sort. Every deal of rows keeps the session's number of parts, so that
+    adaptive execution does not merge them by their compressed size."""
+    ordinary = tree(sequence.clean_sequence(normalise.normalise_rows(enriched.drop("oversized"))))
+    assert "Aggregate" not in ordinary and plan_origins(enriched.drop("oversized")) == ["REPARTITION_BY_NUM"]
+    assert plan_origins(enriched) == ["ENSURE_REQUIREMENTS", "REPARTITION_BY_NUM"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cleaned = sequence.clean_sequence(normalise.normalise_rows(enriched.drop("oversized")))
+    assert cleaned.rdd.getNumPartitions() == parts
+
+
+def plan_origins(badges):
+    """Why the cleaning's exchanges are there."""
+    return sorted(set(re.findall(r"REPARTITION_BY_\w+|ENSURE_REQUIREMENTS", plan(sequence.clean_sequence(normalise.normalise_rows(badges))))))
+
+
 def test_oversized_people_are_pruned_to_their_folders(enriched):
     df = stays.pair_stays(sequence.clean_sequence(normalise.normalise_rows(enriched)))
     scans = re.findall(r"PartitionFilters: (.*)", plan(df))

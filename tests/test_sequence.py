@@ -1,12 +1,14 @@
 """Run removal, tags and pairing against plain loops."""
 
 import datetime as dt
+import random
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
 from turnstile.operators import occupancy, sequence, stays
+from turnstile.schemas import PERSON
 
 SCHEMA = "eid string, localtimestamp timestamp_ntz, direction string, Facility string, index_value bigint"
 
@@ -133,3 +135,23 @@ def test_a_person_over_capacity_is_marked_at_any_total(spark):
     busy = spark.range(3).select(F.lit(1).alias("Group"), F.lit("busy").alias("eid"), F.lit("2024-01-01").cast("date").alias("month"))
     marked = sequence.mark_oversized(many.union(busy), 2).where("oversized")
     assert [r.eid for r in marked.collect()] == ["busy"] * 3
+
+
+def test_simultaneous_swipes_without_index(spark):
+    """An ordinary person is cleaned in the sort, an oversized one through the fold: the same rows, also where index
+    values, facilities or times are missing and swipes coincide."""
+    rng = random.Random(17)
+    start = dt.datetime(2024, 1, 2, 8)
+    rows = []
+    for p in range(400):
+        for _ in range(rng.randrange(1, 14)):
+            stamp = None if rng.random() < 0.2 else start + dt.timedelta(seconds=20 * rng.randrange(6))
+            index = None if rng.random() < 0.4 else rng.randrange(4)
+            site = None if rng.random() < 0.1 else f"F{rng.randrange(3)}"
+            rows += [(f"p{p}", stamp, rng.choice(["in", "out"]), site, index)] * rng.choice([1, 1, 2])
+    columns = ("eid", "localtimestamp", "direction", "Facility", "index_value", "First_Tag", "Last_Tag", "partner_ts", "partner_Facility")
+    got = [sorted(sequence.clean_sequence(badge_frame(spark, rows, o)).select(*columns).collect(), key=str) for o in (False, True)]
+    folded = sequence.drop_runs(sequence.fold_simultaneous(badge_frame(spark, rows)), *PERSON)
+    moments = sequence.drop_runs(sequence.first_of_moment(badge_frame(spark, rows)), *PERSON, order=sequence.moment_order())
+    assert got[0] == got[1]
+    assert sorted(folded.collect(), key=str) == sorted(moments.select(*folded.columns).collect(), key=str)

@@ -5,8 +5,9 @@ row the latest counts, of several `in` swipes the earliest. Rows without a
 timestamp come last in both directions of time.
 
 People within the capacity of a group are shuffled once, by person; folding of
-simultaneous swipes and all windows use that partitioning. Two things keep one
-busy person from filling a task:
+simultaneous swipes and all windows use that partitioning and one sort. No hash
+table holds a task's rows: only the sort does, and it can spill. Two things keep
+one busy person from filling a task:
 
 * Swipes of a person marked `oversized` with the same time, direction and
   facility are folded by an aggregate with map-side combine before any window
@@ -76,9 +77,39 @@ def fold_simultaneous(badges: DataFrame) -> DataFrame:
     )
 
 
-def drop_runs(rows: DataFrame, *partition: str) -> DataFrame:
+def first_of_moment(badges: DataFrame) -> DataFrame:
+    """One row per person, time and direction: of those `fold_simultaneous` leaves, the first `in` or last `out`.
+
+    The others are neighbours of it that run removal would drop. Windows over sorted rows take the place of an
+    aggregate, so the rows leave in the order of `moment_order`, which the windows after this one need.
+    """
+    is_in = F.col("direction") == "in"
+    moment = (*PERSON, "untimed", "localtimestamp", "direction")
+    same_door, same_moment = Window.partitionBy(*moment, "Facility"), Window.partitionBy(*moment)
+    index, row = F.col("index_value"), F.struct(F.col("index_value").isNull(), "index_value", "Facility")
+    return (
+        badges.where(F.col("direction").isin(*DIRECTIONS))
+        .select(*_ROW, F.col("localtimestamp").isNull().alias("untimed"))
+        .withColumn("index_value", F.when(is_in, F.min(index).over(same_door)).otherwise(F.max(index).over(same_door)))
+        .withColumns(
+            {
+                "place": F.row_number().over(same_moment.orderBy("Facility")),
+                "row": F.when(is_in, F.min(row).over(same_moment)).otherwise(F.max(row).over(same_moment)),
+            }
+        )
+        .where(F.col("place") == 1)
+        .select(*_ROW[:-2], "untimed", F.col("row.Facility").alias("Facility"), F.col("row.index_value").alias("index_value"))
+    )
+
+
+def moment_order() -> list[Column]:
+    """Time order where a time and direction occur once."""
+    return [F.col("untimed").asc(), F.col("localtimestamp").asc(), F.col("direction").asc()]
+
+
+def drop_runs(rows: DataFrame, *partition: str, order: list[Column] | None = None) -> DataFrame:
     """Keep the earliest of each run of `in` and the latest of each run of `out`."""
-    window = Window.partitionBy(*partition).orderBy(*time_order())
+    window = Window.partitionBy(*partition).orderBy(*(order or time_order()))
     ts, way = F.col("localtimestamp"), F.col("direction")
     context = rows.withColumns(
         {
@@ -129,6 +160,15 @@ def _with_neighbours(rows: DataFrame, window: WindowSpec) -> DataFrame:
     )
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by keys, in as many parts as the session shuffles into.
+
+    A number that is given stays: where adaptive execution merges parts by their compressed size, a task's sort grows
+    with the input up to millions of rows.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def clean_sequence(badges: DataFrame) -> DataFrame:
     """Alternating in/out rows per person, with first/last flags and each row's partner.
 
@@ -137,9 +177,9 @@ def clean_sequence(badges: DataFrame) -> DataFrame:
     """
     flag = F.col("oversized") if "oversized" in badges.columns else F.lit(False)
     badges = badges.withColumn("oversized", F.coalesce(flag, F.lit(False)))
-    ordinary = fold_simultaneous(badges.where(~F.col("oversized")).repartition(*PERSON[1:]))
-    window = Window.partitionBy(*PERSON).orderBy(*time_order())
-    plain = _with_neighbours(drop_runs(ordinary, *PERSON), window)
+    ordinary = first_of_moment(_dealt(badges.where(~F.col("oversized")), *PERSON[1:]))
+    window = Window.partitionBy(*PERSON).orderBy(*moment_order())
+    plain = _with_neighbours(drop_runs(ordinary, *PERSON, order=moment_order()), window).drop("untimed")
     return plain.unionByName(_clean_oversized(badges.where("oversized"))).drop("oversized")
 
 
@@ -148,6 +188,7 @@ def _clean_oversized(badges: DataFrame) -> DataFrame:
     slices = fold_simultaneous(badges).withColumn("slice", clock.floor_minute(F.col("localtimestamp")))
     parts = (*PERSON, "slice")
     window = Window.partitionBy(*parts).orderBy(*time_order())
+    slices = _dealt(slices, *parts)
     local = _with_neighbours(
         drop_runs(slices, *parts).withColumns(
             {
@@ -166,7 +207,7 @@ def _clean_oversized(badges: DataFrame) -> DataFrame:
     inside = local.where(settled).select(*columns)
     edges = local.where(~settled).select(*_ROW)
     whole = Window.partitionBy(*PERSON).orderBy(*time_order())
-    joined = _with_neighbours(drop_runs(edges, *PERSON), whole)
+    joined = _with_neighbours(drop_runs(_dealt(edges, *PERSON), *PERSON), whole)
     return inside.unionByName(joined.select(*columns))
 
 
