@@ -9,11 +9,10 @@ Base spans, leftmost and non-overlapping per kind, failing matches dropped witho
 The method adds spans of kind "novel": runs of 20 or more characters of `[A-Za-z0-9+/_-]` (with up to two
 `=` of padding) that follow a sensitive word within 48 characters, overlap no base span, and cost at
 least NOVELTY compressed bytes a byte when appended to the 512 characters before them. The cost is the
-smaller one of two zstandard compressors primed with raw-content dictionaries: one of the corpus's own
-text ("code") and one of its most frequent identifiers. Both dictionaries come from at most SAMPLE_DOCS
-rows with the smallest hash of (doc_id, text) among those whose hash a modulus sized from the row count
-divides, at most SAMPLE_CHARS characters of each: a bounded sample that shapes the dictionaries only;
-every row is scanned whole.
+smaller one of two zstandard compressors primed with raw-content dictionaries: one of the most frequent
+lines ("code") and one of the most frequent identifiers, both counted over all texts, whole. Lines of
+under LINE_BYTES bytes, and lines with a run as long as a candidate, are left out of the first, so that
+a copied secret does not become familiar by its line.
 
 Offsets are code points, end exclusive. Null texts are empty (no spans); null ids are kept; repeated
 rows give repeated results; other columns are ignored. An empty table gives no rows.
@@ -31,7 +30,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import keyed_text
+from turnstile.llm.common import keyed_text, stash
 
 # The base patterns and their kinds in the order of the output.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
@@ -47,8 +46,7 @@ LOOK_BACK = 48  # characters before a candidate searched for a sensitive word
 CONTEXT = 512  # characters before a candidate that it is compressed after
 LEVEL = 19  # finds matches of three bytes in the dictionaries
 NOVELTY = 0.6  # compressed bytes a byte at or above which a candidate is reported (6 bits a character of random base64 give 0.75)
-SAMPLE_DOCS = 1000
-SAMPLE_CHARS = 4096
+LINE_BYTES = 20  # shorter lines are no part of the dictionary of lines
 CODE_BYTES = 65_536
 IDENTIFIER_BYTES = 32_768
 
@@ -63,12 +61,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def dictionaries(samples: list[str]) -> tuple[bytes, bytes]:
-    """Raw-content dictionaries: the sample texts, and identifiers of the sample by falling frequency."""
-    code = "\n".join(samples).encode()[:CODE_BYTES]
-    counts = collections.Counter(m for text in samples for m in IDENTIFIER.findall(text))
-    ranked = sorted(counts, key=lambda w: (-counts[w], w))
-    return code, " ".join(ranked).encode()[:IDENTIFIER_BYTES]
+def dictionaries(lines: list[str], identifiers: list[str] | None = None) -> tuple[bytes, bytes]:
+    """Raw-content dictionaries: the lines, and the identifiers, both by falling frequency; without identifiers,
+    those of the lines."""
+    if identifiers is None:
+        counts = collections.Counter(m for line in lines for m in IDENTIFIER.findall(line))
+        identifiers = sorted(counts, key=lambda w: (-counts[w], w))
+    return "\n".join(lines).encode()[:CODE_BYTES], " ".join(identifiers).encode()[:IDENTIFIER_BYTES]
 
 
 class Novelty:
@@ -124,23 +123,52 @@ def scan(text: str, novelty: Novelty) -> tuple[list, list]:
     return base, spans
 
 
-def _sample(keyed: DataFrame) -> list[str]:
-    """About SAMPLE_DOCS non-empty texts, cut to SAMPLE_CHARS before anything moves.
+def _tokens(keyed: DataFrame) -> DataFrame:
+    """Every line (kind 0) and identifier (kind 1) of every text, with its hash and its bytes in a dictionary."""
+    lines = keyed.select(F.lit(0).alias("kind"), F.explode(F.split("text", "\n")).alias("token"))
+    lines = lines.where((F.octet_length("token") >= LINE_BYTES) & ~F.col("token").rlike(CANDIDATE.pattern))
+    names = F.regexp_extract_all("text", F.lit(IDENTIFIER.pattern), F.lit(0))
+    tokens = lines.union(keyed.select(F.lit(1).alias("kind"), F.explode(names).alias("token")))
+    return tokens.withColumns({"h": F.xxhash64("token"), "size": F.octet_length("token") + 1})
 
-    A hash modulus sized from the row count leaves some 4 * SAMPLE_DOCS rows, so that each partition's top
-    rows, which go to the driver, stay few however many partitions there are.
+
+def _leading(counts: DataFrame, limit: int, least: int) -> list[int]:
+    """Hashes by falling count, ties by hash, until the sizes (each `least` or more) reach limit bytes.
+
+    Counts are first summed up by powers of two, so that only the rows of the powers needed are sorted.
     """
-    texts = keyed.where(F.length("text") > 0).select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    every = max(1, texts.count() // (4 * SAMPLE_DOCS))
-    chosen = texts.where(F.pmod("h", F.lit(every)) == 0).orderBy("h", "text").limit(SAMPLE_DOCS)
-    return [r[0] for r in chosen.select("text").collect()]
+    power = F.floor(F.log2("n"))
+    total, lowest = 0, 0
+    for lowest, size in sorted(counts.groupBy(power).agg(F.sum("size")).collect(), reverse=True):  # at most 63 rows
+        total += size
+        if total >= limit:
+            break
+    chosen, total = [], 0
+    for h, size in counts.where(power >= lowest).orderBy(F.desc("n"), "h").limit(limit // least + 1).select("h", "size").collect():
+        if total >= limit:
+            break
+        chosen.append(h)
+        total += size
+    return chosen
+
+
+def corpus_dictionaries(keyed: DataFrame) -> tuple[bytes, bytes]:
+    """The dictionaries of all texts: exact counts of every line and identifier, by hash; then the text of those that
+    fill the dictionaries. What reaches the driver is bounded by the sizes of the dictionaries."""
+    tokens = _tokens(keyed)
+    counts = stash(tokens.groupBy("kind", "h").agg(F.count("*").alias("n"), F.min("size").alias("size")))
+    limits = ((CODE_BYTES, LINE_BYTES + 1), (IDENTIFIER_BYTES, 4))
+    places = {(kind, h): i for kind, (limit, least) in enumerate(limits) for i, h in enumerate(_leading(counts.where(F.col("kind") == kind), limit, least))}
+    wanted = keyed.sparkSession.createDataFrame([(*key, i) for key, i in places.items()], "kind int, h long, place int")
+    found = tokens.join(F.broadcast(wanted), ["kind", "h"]).select("kind", "place", F.substring("token", 1, CODE_BYTES).alias("token")).distinct()
+    texts = sorted(map(tuple, found.collect()))
+    return dictionaries(*([t for kind, _, t in texts if kind == k] for k in (0, 1)))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, spans) for every row of docs; spans are structs (kind, start, end). No shuffle of rows."""
+    """(doc_id, base, spans) for every row of docs; spans are structs (kind, start, end). Only counts are shuffled."""
     keyed = keyed_text(docs, id_col, text_col)
-    code, identifiers = dictionaries(_sample(keyed))
-    shared = docs.sparkSession.sparkContext.broadcast((code, identifiers))
+    shared = docs.sparkSession.sparkContext.broadcast(corpus_dictionaries(keyed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty(*shared.value)
