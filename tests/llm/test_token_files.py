@@ -39,6 +39,41 @@ def test_stretches_give_the_ids_of_whole_texts():
     ]
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given at once."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_stretches_are_encoded_together_and_once(monkeypatch):
+    monkeypatch.setattr(tokens, "_REMEMBERED", 40)
+    memory = tokens._Memory(PATH)
+    memory.tokenizer = counting = Counting(memory.tokenizer)
+    whole = Tokenizer.from_file(PATH)
+    usual = " ".join(f"café{k}" for k in range(30))
+    for n in range(20):  # 20 new words a text, so the memory is renewed every other text or two
+        text = f"{usual}\n\n" + " ".join(f"wörd{n}x{k}" for k in range(20)) + f". {usual}"
+        (ids,) = memory.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    given = "".join(counting.given)
+    assert len(counting.given) <= 20 + 3  # one text of new stretches a call; the first word and the sign by themselves
+    assert given.count("café29") == 1 and given.count("wörd7x7") == 1
+
+
+def test_stretches_that_only_together_make_a_special_string(tmp_path):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_special_tokens(["x y"])
+    tokenizer.save(path := str(tmp_path / "t.json"))
+    texts = ["a x", "b y", "c x y d", " é z"]
+    for text, ids in zip(texts, tokens.encode(texts, path, 7), strict=True):
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 7]
+
+
 def test_dictionary_sample_has_one_row_an_id(spark, docs_of, monkeypatch):
     samples = []
     monkeypatch.setattr(token_files, "train_dictionary", lambda s: samples.append(len(s)) or b"")
